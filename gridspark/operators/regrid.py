@@ -23,12 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.cube import Cube, Dims
-from gridspark.operators.cells import bands, edges, widths
+from gridspark.operators.cells import area_weighted_total, bands, edges, widths
 from gridspark.plans.axes import axis_of, spine
 from gridspark.plans.sizing import broadcast_checked
 from gridspark.plans.steps import step
 
 _SLACK = 1e-9  # of valid fractions: weights are floats
+_TINY = 2.2250738585072014e-308  # fixed value: the smallest normal double
 
 REDUCTIONS = ("sum", "mean", "min", "max", "median", "std", "var", "count")
 
@@ -443,15 +444,15 @@ def conservation_report(
 ) -> DataFrame:
     """Per index of the other dimensions, the totals before and after, their relative change and
     whether it is within ``tolerance``."""
-    from gridspark.operators.cells import area_weighted_total
-
     before = area_weighted_total(source, variable, latitude_dim, longitude_dim, "source_total")
     after = area_weighted_total(target, variable, latitude_dim, longitude_dim, "target_total")
     rest = [d for d in source.dims_of(variable) if d not in (latitude_dim, longitude_dim)]
     both = before.join(after, rest, "full") if rest else before.withColumn(
         "target_total", after.select("target_total").scalar()
     )
-    scale = F.greatest(F.abs("source_total"), F.lit(2.2250738585072014e-308))
+    # A combination without rows is missing: its total is 0.
+    both = both.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("source_total", "target_total")})
+    scale = F.greatest(F.abs("source_total"), F.lit(_TINY))
     change = F.abs(F.col("target_total") - F.col("source_total")) / scale
     return both.withColumn("change", change).withColumn("conserved", F.col("change") <= tolerance)
 

@@ -34,6 +34,7 @@ def session(master: str = "local[*]", shuffle_partitions: int = 8, memory: str =
         SparkSession.builder.master(master)
         .appName("gridspark")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )

@@ -44,6 +44,7 @@ def stream_extend(
     """
     spark = source.sparkSession
     staged = staging or f"{output.path}/staged"
+    output.create()
 
     def take(batch: DataFrame, number: int) -> None:
         seen = Observation()

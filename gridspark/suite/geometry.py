@@ -146,7 +146,7 @@ _CELLS = f"""{_targets(BEYOND)},
     "hourly",
     f"""WITH {_CELLS.format(source='hourly')},
         s AS (SELECT time, tlat, tlon, CAST(sum(CAST(t2m AS DECIMAL(18,2))) AS DOUBLE) AS t2m FROM p GROUP BY 1, 2, 3)
-        SELECT time, yt.c AS lat, xt.c AS lon,
+        SELECT a.time, yt.c AS lat, xt.c AS lon,
             CASE WHEN yt.c BETWEEN -1.75 AND 1.75 AND xt.c BETWEEN 0.25 AND 3.75 THEN round(coalesce(t2m, 0.0), 4) ELSE -1.0 END AS t2m
         FROM (SELECT DISTINCT time FROM hourly) a CROSS JOIN yt CROSS JOIN xt
         LEFT JOIN s ON s.time = a.time AND s.tlat = yt.c AND s.tlon = xt.c""",
@@ -230,13 +230,13 @@ def _keys(position: str, centre: str) -> str:
         kx AS (SELECT c, lon, sum({_keys('x', 'c')}) AS v FROM xt, px GROUP BY 1, 2),
         wy AS (SELECT * FROM ky WHERE abs(u) > 1e-14), wx AS (SELECT * FROM kx WHERE abs(v) > 1e-14),
         ny AS (SELECT c, count(*) AS k FROM wy GROUP BY 1), nx AS (SELECT c, count(*) AS k FROM wx GROUP BY 1)
-        SELECT time, wy.c AS lat, wx.c AS lon, round(CASE WHEN count(t2m) = max(ny.k * nx.k) THEN sum(u * v * t2m) END, 5) AS t2m
+        SELECT time, wy.c AS lat, wx.c AS lon, round(CASE WHEN count(t2m) = max(ny.k * nx.k) THEN sum(u * v * t2m) END, 10) AS t2m
         FROM hourly h JOIN wy ON h.lat = wy.lat JOIN wx ON h.lon = wx.lon
         JOIN ny ON ny.c = wy.c JOIN nx ON nx.c = wx.c GROUP BY 1, 2, 3""",
 )
 def regrid_cubic(t: Tables) -> DataFrame:
     cube = regrid.regrid(t.hourly().without(["n"]), STRADDLING, method="cubic", **WHERE)
-    return _plain_labels(rounded(cube.frame(*HOURLY), "t2m", digits=5))
+    return _plain_labels(rounded(cube.frame(*HOURLY), "t2m", digits=10))
 
 
 @query(

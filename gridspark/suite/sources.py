@@ -109,13 +109,14 @@ def merge_datasets(t: Tables) -> DataFrame:
 
 @query(
     "A8_require_days",
-    sql="""SELECT CAST(d AS DATE) AS day
+    sql="""SELECT d AS day
         FROM (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY)) AS d) w
         WHERE CAST(d AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)""",
 )
 def require_days(t: Tables) -> DataFrame:
     orders = t.table("orders").select(F.col("o_orderdate").alias("time"))
-    return parts.missing_days(orders, "1995-01-01", "2002-01-01")
+    days = parts.missing_days(orders, "1995-01-01", "2002-01-01")
+    return days.select(F.col("day").cast("timestamp").alias("day"))
 
 
 @query(
