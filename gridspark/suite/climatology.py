@@ -122,12 +122,12 @@ def pooled_mean(t: Tables) -> DataFrame:
 @query(
     "I7_anomaly_std",
     "daily",
-    f"WITH {_pooled(5, 'geometric', 0.7)} SELECT cell, bin, round(climatology, 3) AS climatology,"
+    f"WITH {_pooled(5, 'geometric', 0.7)} SELECT cell, bin, round(climatology, 5) AS climatology,"
     " round(sqrt(anomaly_variance), 3) AS anomaly_std FROM p",
 )
 def pooled_spread(t: Tables) -> DataFrame:
     table = _table(t, 5, "geometric", 0.7).select("cell", "bin", "climatology", "anomaly_std")
-    return rounded(table, "climatology", "anomaly_std", digits=3)
+    return rounded(rounded(table, "climatology", digits=5), "anomaly_std", digits=3)
 
 
 @query(
