@@ -1,11 +1,12 @@
 """Regridding to a regular latitude-longitude grid.
 
-Every method is separable, so a grid is described by one short table per axis: which source labels
-contribute to which target index, and with what weight. The target is regular, so the indices a
-source cell overlaps come from arithmetic on its edges, not from a range join. The data tables are
-joined to the two weight tables on equality and aggregated once; the weight tables grow with the
-axes, never with the data. Map-side partial sums mean that one cell, level or instant with most of
-the rows does not make one task heavy.
+Every method is separable, so a grid is described by one short table per axis: per target index its
+label and the source labels that contribute to it, with weights. The target is regular, so the
+indices a source cell overlaps come from arithmetic on its edges, not from a range join. The axis
+tables are made first (one small job each, see ``local_copy``), so the data tables are joined to
+relations of known size, on equality, and aggregated once. Those relations grow with the axes, never
+with the data. Map-side partial sums mean that one cell, level or instant with most of the rows does
+not make one task heavy.
 
 Decisions where the rules are those of a library outside the reference's sources: ``nan_threshold``
 is 1 by default; nearest ties go to the lower position; cubic is Keys' cubic convolution (a = -0.5)
@@ -21,11 +22,12 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gridspark.cube import Cube, Dims
-from gridspark.operators.cells import area_weighted_total, bands, edges, widths
-from gridspark.plans.axes import axis_of, spine
-from gridspark.plans.sizing import broadcast_checked
+from gridspark.operators.cells import area_weighted_total, edges, with_area
+from gridspark.plans.axes import spine
+from gridspark.plans.sizing import local_copy
 from gridspark.plans.steps import step
 
 _SLACK = 1e-9  # of valid fractions: weights are floats
@@ -62,24 +64,6 @@ class TargetAxis:
     def _clip(self, edge: Column) -> Column:
         return F.least(F.greatest(edge, F.lit(-90.0)), F.lit(90.0)) if self.latitude else edge
 
-    def table(self, cube: Cube, key: str) -> DataFrame:
-        """``(key, dim, inside)``: per index its label, and whether the centre lies within the range
-        of the source's centres (elsewhere results are blank)."""
-        ends = cube.axis(self.dim).agg(
-            F.struct(F.min(F.col(self.dim).cast("double")).alias("lo"), F.max(F.col(self.dim).cast("double")).alias("hi"))
-        )
-        k = F.col("id").cast("int")
-        return (
-            cube.axis(self.dim)
-            .sparkSession.range(self.size)
-            .select(k.alias(key), self.centre(k).alias("__c"), ends.scalar().alias("__e"))
-            .select(
-                key,
-                F.col("__c").cast("float").alias(self.dim),
-                F.col("__c").between(F.col("__e.lo"), F.col("__e.hi")).alias(f"__in_{self.dim}"),
-            )
-        )
-
 
 def target_grid(grid: Mapping[str, float], latitude_dim: str, longitude_dim: str) -> tuple[TargetAxis, TargetAxis]:
     """The target axes of ``{south, north, west, east, resolution_lat, resolution_lon}``, ends included."""
@@ -105,78 +89,87 @@ def target_axis_table(cube: Cube, target: TargetAxis) -> DataFrame:
     return spark.range(target.size).select(k.alias("idx"), target.centre(k).cast("float").alias(target.dim))
 
 
-# -- weight tables: (source label, key, weight) ------------------------------------------------
+# -- weights: (target index k, source label, w, inside) -------------------------------------------
+# ``inside`` is whether the target's centre lies within the range of the source's centres.
+
+
+def _with_ends(df: DataFrame, dim: str) -> DataFrame:
+    """The axis's ends beside each label (the window is the axis)."""
+    whole = Window.partitionBy()
+    value = F.col(dim).cast("double")
+    return df.withColumns({"first": F.min(value).over(whole), "last": F.max(value).over(whole)})
 
 
-def overlap_weights(cube: Cube, target: TargetAxis, key: str, weight: str) -> DataFrame:
+def overlap_weights(cube: Cube, target: TargetAxis) -> DataFrame:
     """The share of each source cell (in degrees) in each target cell, times its extent on the sphere
     (sine of latitude, or longitude)."""
     dim = target.dim
-    axis = cube.axis(dim)
-    extent = (bands if target.latitude else widths)(axis, dim, "extent")
     lo, hi = F.least("lo", "hi"), F.greatest("lo", "hi")
     first = F.greatest(F.floor((lo - target.start) / target.resolution - 0.5) - 1, F.lit(0))
     last = F.least(F.ceil((hi - target.start) / target.resolution + 0.5) + 1, F.lit(target.size - 1))
-    cells = edges(axis, dim, target.latitude).select(dim, lo.alias("lo"), hi.alias("hi"))
-    touched = cells.where(first <= last).withColumn(key, F.explode(F.sequence(first.cast("int"), last.cast("int"))))
-    overlap = F.least(F.col("hi"), target.high(F.col(key))) - F.greatest(F.col("lo"), target.low(F.col(key)))
-    return (
-        touched.withColumn("overlap", overlap)
-        .where(F.col("overlap") > 0)
-        .join(extent, dim)
-        .select(dim, key, (F.col("overlap") / (F.col("hi") - F.col("lo")) * F.col("extent")).alias(weight))
-    )
+    cells = edges(cube.axis(dim), dim, target.latitude).select(dim, lo.alias("lo"), hi.alias("hi"))
+    cells = _with_ends(cells, dim)
+    touched = cells.where(first <= last).withColumn("k", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+    overlap = F.least(F.col("hi"), target.high(F.col("k"))) - F.greatest(F.col("lo"), target.low(F.col("k")))
+    low, high = F.radians("lo"), F.radians("hi")
+    extent = F.sin(high) - F.sin(low) if target.latitude else high - low
+    weight = F.col("overlap") / (F.col("hi") - F.col("lo")) * extent
+    inside = target.centre(F.col("k")).between(F.col("first"), F.col("last"))
+    overlapping = touched.withColumn("overlap", overlap).where("overlap > 0")
+    return overlapping.select("k", dim, weight.alias("w"), inside.alias("inside"))
 
 
 def _sorted_labels(cube: Cube, dim: str) -> Column:
     return cube.axis(dim).agg(F.sort_array(F.collect_list(F.col(dim)))).scalar()
 
 
-def _targets(cube: Cube, target: TargetAxis, key: str) -> DataFrame:
-    """``(key, c, x)``: per target index its centre and the sorted source labels."""
+def _targets(cube: Cube, target: TargetAxis) -> DataFrame:
+    """``(k, c, x)``: per target index its centre and the sorted source labels."""
     spark = cube.axis(target.dim).sparkSession
     k = F.col("id").cast("int")
     return spark.range(target.size).select(
-        k.alias(key), target.centre(k).alias("c"), _sorted_labels(cube, target.dim).alias("x")
+        k.alias("k"), target.centre(k).alias("c"), _sorted_labels(cube, target.dim).alias("x")
     )
 
 
-def nearest_weights(cube: Cube, target: TargetAxis, key: str, weight: str) -> DataFrame:
+def nearest_weights(cube: Cube, target: TargetAxis) -> DataFrame:
     """The nearest source label of each target index; ties go to the lower position."""
     dim = target.dim
     points = cube.axis(dim).agg(F.collect_list(F.struct("idx", dim))).scalar()
     spark = cube.axis(dim).sparkSession
     k = F.col("id").cast("int")
-    table = spark.range(target.size).select(k.alias(key), target.centre(k).alias("c"), points.alias("p"))
+    table = spark.range(target.size).select(k.alias("k"), target.centre(k).alias("c"), points.alias("p"))
     ranked = F.transform(
         "p", lambda p: F.struct(F.abs(p[dim].cast("double") - F.col("c")).alias("d"), p["idx"], p[dim])
     )
-    return table.select(F.array_min(ranked)[dim].alias(dim), key, F.lit(1.0).alias(weight))
+    centres = F.transform("p", lambda p: p[dim].cast("double"))
+    inside = F.col("c").between(F.array_min(centres), F.array_max(centres))
+    return table.select("k", F.array_min(ranked)[dim].alias(dim), F.lit(1.0).alias("w"), inside.alias("inside"))
 
 
-def linear_weights(cube: Cube, target: TargetAxis, key: str, weight: str) -> DataFrame:
+def linear_weights(cube: Cube, target: TargetAxis) -> DataFrame:
     """The source labels on both sides of each target centre; none of weight 0."""
     dim = target.dim
     below = F.array_max(F.filter("x", lambda x: x <= F.col("c")))
     above = F.array_min(F.filter("x", lambda x: x >= F.col("c")))
-    table = _targets(cube, target, key).select(key, "c", below.alias("a"), above.alias("b"))
+    table = _targets(cube, target).select("k", "c", below.alias("a"), above.alias("b"))
     share = F.when(F.col("a") == F.col("b"), F.lit(0.0)).otherwise(
         (F.col("c") - F.col("a")) / (F.col("b") - F.col("a"))
     )
     pair = F.array(
-        F.struct(F.col("a").alias(dim), (1 - share).alias(weight)), F.struct(F.col("b").alias(dim), share.alias(weight))
+        F.struct(F.col("a").alias(dim), (1 - share).alias("w")), F.struct(F.col("b").alias(dim), share.alias("w"))
     )
     return table.where(F.col("a").isNotNull() & F.col("b").isNotNull()).select(
-        key, F.inline(F.filter(pair, lambda p: p[weight] > 0))
-    )
+        "k", F.inline(F.filter(pair, lambda p: p["w"] > 0))
+    ).withColumn("inside", F.lit(True))
 
 
-def cubic_weights(cube: Cube, target: TargetAxis, key: str, weight: str) -> DataFrame:
+def cubic_weights(cube: Cube, target: TargetAxis) -> DataFrame:
     """Keys' four-point weights (a = -0.5), positions clamped to the axis; none of weight 0."""
     dim = target.dim
     n = F.size("x")
     j = F.least(F.size(F.filter("x", lambda x: x <= F.col("c"))) - 1, n - 2)
-    table = _targets(cube, target, key).withColumn("j", j).where((F.col("j") >= 0) & (n >= 2))
+    table = _targets(cube, target).withColumn("j", j).where((F.col("j") >= 0) & (n >= 2))
     left, right = F.get("x", F.col("j")), F.get("x", F.col("j") + 1)
     t = (F.col("c") - left) / (right - left)
     table = table.withColumn("t", t)
@@ -194,36 +187,72 @@ def cubic_weights(cube: Cube, target: TargetAxis, key: str, weight: str) -> Data
         for by, value in four
     ]
     return (
-        table.select(key, F.inline(F.array(*points)))
-        .groupBy(dim, key)
-        .agg(F.sum("w").alias(weight))
-        .where(F.abs(weight) > 1e-14)
+        table.select("k", F.col("c").between(F.array_min("x"), F.array_max("x")).alias("inside"), F.inline(F.array(*points)))
+        .groupBy("k", dim)
+        .agg(F.sum("w").alias("w"), F.first("inside").alias("inside"))
+        .where(F.abs("w") > 1e-14)
     )
 
 
+def point_weights(cube: Cube, target: TargetAxis) -> DataFrame:
+    """The target index of each source label: the cell holding its centre; an edge goes up."""
+    first = target.start - target.resolution / 2
+    k = F.floor((F.col(target.dim).cast("double") - F.lit(first)) / F.lit(target.resolution)).cast("int")
+    keyed = _with_ends(cube.axis(target.dim), target.dim).withColumn("k", k).where(F.col("k").between(0, target.size - 1))
+    inside = target.centre(F.col("k")).between(F.col("first"), F.col("last"))
+    return keyed.select("k", target.dim, F.lit(1.0).alias("w"), inside.alias("inside"))
+
+
 # -- applying them ------------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
 class _Horizontal:
-    """A target axis with its weights, as applied to one table."""
+    """A target axis as applied to one table: ``targets`` has one row per target index, with its
+    label, whether results there are shown, and the source labels that contribute, weighted."""
 
     target: TargetAxis
     key: str
     weight: str
-    weights: DataFrame
+    targets: DataFrame
 
     @property
     def dim(self) -> str:
         return self.target.dim
 
+    @property
+    def weights(self) -> DataFrame:
+        """``(source label, key, weight)``."""
+        named = self.targets.select(F.col("k").alias(self.key), F.inline("sources"))
+        return named.withColumnRenamed("w", self.weight)
 
-def _horizontals(cube: Cube, dims: Dims, targets: tuple[TargetAxis, TargetAxis], table) -> list[_Horizontal]:
-    out = []
-    for target, key, weight in zip(targets, ("__i", "__j"), ("__u", "__v"), strict=True):
-        if target.dim in dims:
-            out.append(_Horizontal(target, key, weight, table(cube, target, key, weight)))
-    return out
+    @property
+    def labels(self) -> DataFrame:
+        """``(key, label, inside, total weight, number of contributions)``."""
+        total = F.aggregate("sources", F.lit(0.0), lambda s, x: s + x["w"])
+        return self.targets.select(
+            F.col("k").alias(self.key),
+            F.col("label").alias(self.dim),
+            F.col("inside").alias(f"__in{self.key}"),
+            total.alias(f"__W{self.key}"),
+            F.size("sources").alias(f"__N{self.key}"),
+        )
+
+
+def axis_targets(cube: Cube, target: TargetAxis, method: str) -> DataFrame:
+    """``(k, label, inside, sources)`` of a target axis. Targets nothing contributes to have no sources
+    and are not inside."""
+    dim = target.dim
+    rows = _WEIGHTS[method](cube, target)
+    k = F.col("id").cast("int").alias("k")
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields[1:]]
+    every = rows.unionByName(rows.sparkSession.range(target.size).select(k, *nothing))
+    source = F.when(F.col(dim).isNotNull(), F.struct(dim, "w"))
+    merged = every.groupBy("k").agg(
+        F.coalesce(F.bool_or("inside"), F.lit(False)).alias("inside"), F.collect_list(source).alias("sources")
+    )
+    label = target.centre(F.col("k")).cast("float").alias("label")
+    return local_copy(merged.select("k", label, "inside", "sources"))
 
 
 def _joined(df: DataFrame, parts: list[_Horizontal]) -> DataFrame:
@@ -239,12 +268,18 @@ def _product(columns: list[Column]) -> Column:
     return out
 
 
-def _labelled(cube: Cube, df: DataFrame, parts: list[_Horizontal], dims: Dims, names: list[str], blank) -> DataFrame:
-    """Target labels for target indices; results outside the range of source centres are ``blank``."""
+def _described(df: DataFrame, parts: list[_Horizontal]) -> DataFrame:
+    """Labels and totals of the targets for their indices."""
+    for part in parts:
+        df = df.join(part.labels, part.key)
+    return df
+
+
+def _shown(df: DataFrame, parts: list[_Horizontal], dims: Dims, names: list[str], blank: Column) -> DataFrame:
+    """The result by label; outside the range of source centres it is ``blank``."""
     inside: Column = F.lit(True)
     for part in parts:
-        df = df.join(part.target.table(cube, part.key), part.key)
-        inside = inside & F.col(f"__in_{part.dim}")
+        inside = inside & F.col(f"__in{part.key}")
     return df.select(*dims, *(F.when(inside, F.col(n)).otherwise(blank).alias(n) for n in names))
 
 
@@ -279,13 +314,9 @@ def _weighted(
         *(F.sum(valid[n]).alias(f"__w_{n}") for n in names),
         *(F.count(F.col(n)).alias(f"__n_{n}") for n in names),
     )
-    for part in parts:
-        whole = part.weights.groupBy(part.key).agg(
-            F.sum(part.weight).alias(f"__W{part.weight}"), F.count(F.lit(1)).alias(f"__N{part.weight}")
-        )
-        sums = sums.join(whole, part.key)
-    whole = _product([F.col(f"__W{p.weight}") for p in parts])
-    count = _product([F.col(f"__N{p.weight}") for p in parts])
+    sums = _described(sums, parts)
+    whole = _product([F.col(f"__W{p.key}") for p in parts])
+    count = _product([F.col(f"__N{p.key}") for p in parts])
     results = {}
     for n in names:
         total, share = F.col(n), F.col(f"__w_{n}")
@@ -295,7 +326,7 @@ def _weighted(
             needed = 1.0 - float(options.get("nan_threshold", 1.0)) - _SLACK
             results[n] = F.when((share > 0) & (share / whole >= needed), total / share)
         else:
-            results[n] = F.coalesce(total, F.lit(0.0)) / whole
+            results[n] = F.when(whole > 0, F.coalesce(total, F.lit(0.0)) / whole)
     return sums.withColumns(results)
 
 
@@ -316,14 +347,6 @@ def stat_aggregate(method: str, value: Column) -> Column:
     return made[method](value)
 
 
-def point_keys(cube: Cube, target: TargetAxis, key: str, weight: str) -> DataFrame:
-    """The target index of each source label: the cell holding its centre; an edge goes up."""
-    first = target.start - target.resolution / 2
-    k = F.floor((F.col(target.dim).cast("double") - F.lit(first)) / F.lit(target.resolution)).cast("int")
-    keyed = cube.axis(target.dim).select(target.dim, k.alias(key), F.lit(1.0).alias(weight))
-    return keyed.where(F.col(key).between(0, target.size - 1))
-
-
 def _stat(
     cube: Cube, dims: Dims, names: list[str], parts: list[_Horizontal], options: Mapping[str, Any]
 ) -> DataFrame:
@@ -340,11 +363,8 @@ def _stat(
         *(stat_aggregate(method, F.col(n)).alias(n) for n in names),
         *(F.count(n).alias(f"__n_{n}") for n in names),
     )
-    points = F.lit(1)
-    for part in parts:
-        whole = part.weights.groupBy(part.key).agg(F.count(F.lit(1)).alias(f"__N{part.weight}"))
-        sums = sums.join(whole, part.key, "left")
-        points = points * F.coalesce(F.col(f"__N{part.weight}"), F.lit(0))
+    sums = _described(sums, parts)
+    points = _product([F.col(f"__N{p.key}") for p in parts])
     results = {}
     for n in names:
         value = F.col(n).cast("double")
@@ -376,28 +396,26 @@ _WEIGHTS = {
     "linear": linear_weights,
     "cubic": cubic_weights,
     "nearest": nearest_weights,
-    "stat": point_keys,
-    "most_common": point_keys,
-    "least_common": point_keys,
+    "stat": point_weights,
+    "most_common": point_weights,
+    "least_common": point_weights,
 }
 
 
-def _regridded(
-    cube: Cube, dims: Dims, targets: tuple[TargetAxis, TargetAxis], method: str, options: Mapping[str, Any]
-) -> DataFrame:
+def _regridded(cube: Cube, dims: Dims, parts: list[_Horizontal], method: str, options: Mapping[str, Any]) -> DataFrame:
     names = [c for c in cube.frames[dims].columns if c not in dims]
-    parts = _horizontals(cube, dims, targets, _WEIGHTS[method])
+    parts = [part for part in parts if part.dim in dims]
     blank: Column = F.lit(None)
     if method in ("conservative", "linear", "cubic"):
         df = _weighted(cube, dims, names, parts, method, options)
     elif method == "nearest":
-        df = _joined(cube.frames[dims], parts)
+        df = _described(_joined(cube.frames[dims], parts), parts)
     elif method == "stat":
         df = _stat(cube, dims, names, parts, options)
         blank = F.lit(options.get("fill_value")).cast("double")
     else:
-        df = _common(cube, dims, names, parts, method == "least_common")
-    return _labelled(cube, df, parts, dims, names, blank)
+        df = _described(_common(cube, dims, names, parts, method == "least_common"), parts)
+    return _shown(df, parts, dims, names, blank)
 
 
 @step
@@ -418,7 +436,7 @@ def regrid(
     goes to the cell containing its centre. ``linear`` and ``cubic`` need every neighbour of weight
     above 0. Target cells whose centre lies outside the range of source centres are blank.
     """
-    options = dict(kwargs or {})
+    options = {k: v for k, v in (kwargs or {}).items() if k != "output_chunks"}
     if method not in _WEIGHTS:
         raise ValueError(f"regrid: no method {method!r}: {', '.join(_WEIGHTS)}")
     if conservation_tolerance is not None and (method != "conservative" or options.get("skipna", True)):
@@ -426,16 +444,22 @@ def regrid(
     targets = target_grid(grid, latitude_dim, longitude_dim)
     horizontal = {latitude_dim, longitude_dim}
     touched = [dims for dims in cube.frames if horizontal & set(dims)]
-    cube = cube.with_axes(*(d for d in dict.fromkeys(d for dims in touched for d in dims)))
-    frames = dict(cube.frames)
-    for dims in touched:
-        frames[dims] = _regridded(cube, dims, targets, method, options)
+    used = {d for dims in touched for d in dims}
+    # Results without data (missing as 0, fill values) need every label of the other dimensions.
+    dense = method == "stat" or (method == "conservative" and not options.get("skipna", True))
+    cube = cube.with_axes(*(d for d in used if dense or d in horizontal))
+    parts = [
+        _Horizontal(target, key, weight, axis_targets(cube, target, method))
+        for target, key, weight in zip(targets, ("__i", "__j"), ("__u", "__v"), strict=True)
+        if target.dim in used
+    ]
+    frames = {d: _regridded(cube, d, parts, method, options) if d in touched else df for d, df in cube.frames.items()}
     axes = {**cube.axes, **{t.dim: target_axis_table(cube, t) for t in targets}}
     out = replace(cube, frames=frames, axes=axes)
     if conservation_tolerance is not None:
         for dims in touched:
             if horizontal <= set(dims):
-                out = _conserving(cube, out, dims, horizontal, conservation_tolerance, latitude_dim, longitude_dim)
+                out = _conserving(cube, out, dims, conservation_tolerance, latitude_dim, longitude_dim)
     return out
 
 
@@ -458,26 +482,32 @@ def conservation_report(
 
 
 def _conserving(
-    source: Cube, target: Cube, dims: Dims, horizontal: set[str], tolerance: float, latitude_dim: str, longitude_dim: str
+    source: Cube, target: Cube, dims: Dims, tolerance: float, latitude_dim: str, longitude_dim: str
 ) -> Cube:
-    """``target`` whose variables raise when computed if their totals differ from the source's."""
-    rest = [d for d in dims if d not in horizontal]
+    """``target`` whose variables raise when computed if their totals differ from the source's.
+
+    Totals after are sums over each index of the other dimensions (one target grid) of the result
+    itself, which is therefore computed once; totals before are one more aggregation of the source.
+    """
+    rest = [d for d in dims if d not in (latitude_dim, longitude_dim)]
     df = target.frames[dims]
     columns = df.columns
+    df = with_area(df, target, latitude_dim, longitude_dim, "__area")
+    one = Window.partitionBy(*rest)
     for name in (c for c in columns if c not in dims):
-        report = conservation_report(source, target, name, tolerance, latitude_dim, longitude_dim)
-        report = report.select(*rest, F.col("change").alias("__change"), F.col("conserved").alias("__ok"))
-        if rest:
-            df = df.join(broadcast_checked(report), rest, "left")
-        else:
-            df = df.withColumns({c: report.select(c).scalar() for c in ("__change", "__ok")})
+        before = area_weighted_total(source, name, latitude_dim, longitude_dim, "__before")
+        value = F.coalesce(F.col(name).cast("double"), F.lit(0.0))
+        df = df.withColumn("__after", F.sum(value * F.col("__area")).over(one))
+        df = df.join(before, rest, "left") if rest else df.withColumn("__before", before.scalar())
+        total = F.coalesce("__before", F.lit(0.0))
+        change = F.abs(F.col("__after") - total) / F.greatest(F.abs(total), F.lit(_TINY))
         message = F.concat(
             F.lit(f"regrid: the total of {name!r} changed by "),
-            F.col("__change").cast("string"),
+            change.cast("string"),
             F.lit(f" (relative), more than the conservation_tolerance {tolerance:g}"),
         )
-        checked = F.when(F.col("__ok"), F.col(name)).otherwise(F.raise_error(message).cast("double"))
-        df = df.withColumn(name, checked).drop("__change", "__ok")
+        failed = F.raise_error(message).cast(df.schema[name].dataType)
+        df = df.withColumn(name, F.when(change <= tolerance, F.col(name)).otherwise(failed)).drop("__before", "__after")
     return target.with_frame(dims, df.select(*columns))
 
 
@@ -487,4 +517,4 @@ def grid_axes(cube: Cube, grid: Mapping[str, float], latitude_dim: str, longitud
     return target_axis_table(cube, lat), target_axis_table(cube, lon)
 
 
-__all__ = ["axis_of", "conservation_report", "grid_axes", "regrid", "target_grid"]
+__all__ = ["conservation_report", "grid_axes", "regrid", "target_grid"]

@@ -113,21 +113,26 @@ def _table(t: Tables, size: int, weighting: str = "constant", scale: float | Non
 @query(
     "I6_climatology",
     "daily",
-    f"WITH {_pooled(31, 'gaussian')} SELECT cell, bin, round(climatology, 4) AS climatology FROM p",
+    f"WITH {_pooled(31, 'gaussian')} SELECT cell, bin, round(ln(climatology), 9) AS climatology FROM p",
 )
 def pooled_mean(t: Tables) -> DataFrame:
-    return rounded(_table(t, 31, "gaussian").select("cell", "bin", "climatology"), "climatology", digits=4)
+    """In logarithms, as the next: means of a few prices often end on a 5, where rounding is unstable."""
+    return _logarithms(_table(t, 31, "gaussian").select("cell", "bin", "climatology"), "climatology")
 
 
 @query(
     "I7_anomaly_std",
     "daily",
-    f"WITH {_pooled(5, 'geometric', 0.7)} SELECT cell, bin, round(climatology, 5) AS climatology,"
-    " round(sqrt(anomaly_variance), 3) AS anomaly_std FROM p",
+    f"WITH {_pooled(5, 'geometric', 0.7)} SELECT cell, bin, round(ln(climatology), 9) AS climatology,"
+    " round(CASE WHEN anomaly_variance > 0 THEN ln(anomaly_variance) / 2 END, 9) AS anomaly_std FROM p",
 )
 def pooled_spread(t: Tables) -> DataFrame:
     table = _table(t, 5, "geometric", 0.7).select("cell", "bin", "climatology", "anomaly_std")
-    return rounded(rounded(table, "climatology", digits=5), "anomaly_std", digits=3)
+    return _logarithms(table, "climatology", "anomaly_std")
+
+
+def _logarithms(df: DataFrame, *names: str) -> DataFrame:
+    return rounded(df.withColumns({n: F.when(F.col(n) > 0, F.ln(n)) for n in names}), *names, digits=9)
 
 
 @query(
