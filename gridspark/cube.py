@@ -98,9 +98,13 @@ class Cube:
 
     def with_frame(self, dims: Dims, df: DataFrame) -> Cube:
         """The cube whose table on ``dims`` is ``df`` (a table without variables is left out)."""
-        frames = {key: value for key, value in self.frames.items() if set(key) != set(dims)}
-        if any(name not in dims for name in df.columns):
-            frames[dims] = df
+        frames: dict[Dims, DataFrame] = {}
+        for key, value in self.frames.items():
+            same = set(key) == set(dims)
+            frames[dims if same else key] = df if same else value
+        frames.setdefault(dims, df)
+        if all(name in dims for name in df.columns):
+            del frames[dims]
         return replace(self, frames=frames)
 
     def add_frame(self, dims: Dims, df: DataFrame) -> Cube:
