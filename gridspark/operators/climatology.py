@@ -140,21 +140,20 @@ def pooled(
 ) -> DataFrame:
     """``(cell dims, bin, climatology, anomaly_variance, anomaly_std)`` from bin statistics."""
     cell = list(cell)
-    offsets = F.array(
-        *(
-            F.struct(F.lit(k).alias("k"), F.lit(w).alias("w"))
-            for k, w in window_of(window, weighting, weighting_scale)
+    offsets = window_of(window, weighting, weighting_scale)
+    if len(offsets) == 1:  # a bin pools itself: the statistics' own partitioning serves
+        spread = statistics.select(*cell, BIN, F.lit(1.0).alias("w"), "n", "mean", "m2")
+    else:
+        by_cell = statistics.repartition(*cell) if cell else statistics
+        pairs = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(w).alias("w")) for k, w in offsets))
+        spread = by_cell.select("*", F.explode(pairs).alias("o")).select(
+            *cell,
+            F.pmod(F.col(BIN) - F.col("o.k"), F.lit(period)).cast("int").alias(BIN),
+            F.col("o.w").alias("w"),
+            "n",
+            "mean",
+            "m2",
         )
-    )
-    by_cell = statistics.repartition(*cell) if cell else statistics
-    spread = by_cell.select("*", F.explode(offsets).alias("o")).select(
-        *cell,
-        F.pmod(F.col(BIN) - F.col("o.k"), F.lit(period)).cast("int").alias(BIN),
-        F.col("o.w").alias("w"),
-        "n",
-        "mean",
-        "m2",
-    )
     one = Window.partitionBy(*cell, BIN)
     n, w = F.col("n"), F.col("w")
     centred = spread.withColumns(
@@ -224,13 +223,13 @@ def anomalies(
     standardized: bool = False,
 ) -> DataFrame:
     """Values minus their bin's ``climatology`` (over ``anomaly_std`` if ``standardized``; missing
-    where that is 0). ``statistics`` is the table of ``pooled``: it joins on cell and bin, broadcast
-    only if its checked size allows; else both sides are shuffled, a few years' rows per key."""
+    where that is 0). ``statistics`` is the table of ``pooled``, one row per cell and bin: an equi-join
+    with a few years' rows per key, whose strategy is left to the sizes seen at run time."""
     dims = cube.dims_of(variable)
     cube = cube.with_axes(time_dim)
     cell = [d for d in dims if d != time_dim]
     rows = binned(cube, dims, period, bins, time_dim).select(*dims, BIN, variable)
-    joined = rows.join(broadcast_checked(statistics), [*cell, BIN], "left")
+    joined = rows.join(statistics, [*cell, BIN], "left")
     anomaly = F.col(variable) - F.col("climatology")
     if standardized:
         anomaly = F.when(F.col("anomaly_std") > 0, anomaly / F.col("anomaly_std"))

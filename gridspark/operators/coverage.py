@@ -22,11 +22,13 @@ _EPSILON = {"float": 1.1920928955078125e-07, "double": 2.220446049250313e-16}
 def spacing(labels: DataFrame, dim: str) -> DataFrame:
     """One row ``(low, high, step)``: the ends of the labels and their spacing, NULL if irregular.
 
-    Times are compared exactly (in seconds); numbers within the rounding of their type.
+    Times are compared exactly (in microseconds; ``step`` is in seconds), numbers within the rounding
+    of their type.
     """
     kind = labels.schema[dim].dataType
-    timed = isinstance(kind, (T.TimestampType, T.DateType))
-    value: Column = F.unix_micros(F.col(dim).cast("timestamp")) if timed else F.col(dim).cast("double")
+    if isinstance(kind, (T.TimestampType, T.DateType)):
+        return _time_spacing(labels.select(F.unix_micros(F.col(dim).cast("timestamp")).alias("x")).distinct())
+    value = F.col(dim).cast("double")
     gaps = labels.select(value.alias("x")).distinct().withColumn(
         "gap", F.col("x") - F.lag("x").over(Window.orderBy("x"))
     )
@@ -37,16 +39,29 @@ def spacing(labels: DataFrame, dim: str) -> DataFrame:
         F.max("gap").alias("most"),
         F.count("x").alias("n"),
     )
-    if timed:
-        regular = (F.col("n") > 1) & (F.col("least") == F.col("most"))
-        step_ = F.when(regular, F.col("least") / 1_000_000)
-    else:
-        mean = F.when(F.col("n") > 1, (F.col("high") - F.col("low")) / (F.col("n") - 1))
-        rounding = 4 * _EPSILON.get(kind.simpleString(), 0.0) * F.greatest(F.abs("low"), F.abs("high"))
-        tolerance = F.greatest(1e-6 * mean, rounding)
-        close = (F.abs(F.col("least") - mean) <= tolerance) & (F.abs(F.col("most") - mean) <= tolerance)
-        step_ = F.when((mean > 0) & close, mean)
-    return ends.select("low", "high", step_.alias("step"))
+    mean = F.when(F.col("n") > 1, (F.col("high") - F.col("low")) / (F.col("n") - 1))
+    rounding = 4 * _EPSILON.get(kind.simpleString(), 0.0) * F.greatest(F.abs("low"), F.abs("high"))
+    tolerance = F.greatest(1e-6 * mean, rounding)
+    close = (F.abs(F.col("least") - mean) <= tolerance) & (F.abs(F.col("most") - mean) <= tolerance)
+    return ends.select("low", "high", F.when((mean > 0) & close, mean).alias("step"))
+
+
+def _time_spacing(stamps: DataFrame) -> DataFrame:
+    """``spacing`` of distinct stamps, without ordering them: ``n`` of them are regular if the span is
+    ``n - 1`` whole steps and each lies a whole number of steps after the first."""
+    ends = stamps.agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count("x").alias("n"))
+    span = F.col("high") - F.col("low")
+    even = (F.col("n") > 1) & (span % F.greatest(F.col("n") - 1, F.lit(1)) == 0)
+    described = ends.select("low", "high", F.when(even, (span / (F.col("n") - 1)).cast("bigint")).alias("step"))
+    one = described.select(F.struct("low", "high", "step").alias("e"))
+    beside = stamps.select("x", one.scalar().alias("e"))
+    off = beside.agg(
+        F.first("e.low").alias("low"),
+        F.first("e.high").alias("high"),
+        F.first("e.step").alias("step"),
+        F.count_if(F.pmod(F.col("x") - F.col("e.low"), F.col("e.step")) != 0).alias("off"),
+    )
+    return off.select("low", "high", F.when(F.col("off") == 0, F.col("step") / 1_000_000).alias("step"))
 
 
 def _text(attribute: str, value: Column) -> Column:

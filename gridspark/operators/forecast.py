@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from gridspark.cube import Cube
 from gridspark.functions.times import plus, seconds, stamp
 from gridspark.plans.axes import spine
-from gridspark.plans.sizing import broadcast_checked, local_copy
+from gridspark.plans.sizing import local_copy
 
 Instant = str | datetime.datetime
 Duration = str | datetime.timedelta
@@ -203,11 +203,11 @@ def run_states(
 
 
 def rolling_window(df: DataFrame, dim: str, keep: int) -> DataFrame:
-    """The rows of the last ``keep`` labels along ``dim``: a short list of labels is ranked and joined."""
+    """The rows of the last ``keep`` labels along ``dim``: their short list is read once, then joined."""
     if keep < 1:
         raise ValueError("a window holds at least one run")
     last = df.select(dim).distinct().orderBy(F.col(dim).desc()).limit(keep)
-    return df.join(broadcast_checked(last), dim, "left_semi").select(df.columns)
+    return df.join(local_copy(last), dim, "left_semi").select(df.columns)
 
 
 def layout_differences(
