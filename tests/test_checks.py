@@ -136,3 +136,16 @@ def test_stand_ins_and_what_their_masks_cover_are_not_checked(masked):
         cube, later = checks.block_checks(empty, rules, *block, absent=absent)
         assert all(rule.variable != "thetao" for guard in later.guards for rule in guard.rules)
         assert set(cube.variables) == set(empty.variables)
+
+
+def test_validation_reports_everything(masked):
+    config = {
+        "valid_time_coordinate": {},
+        "valid_global_coordinates": {},
+        "attributes": {"required": ["units"], "distinct": []},
+        "ensure_no_nans": {"sea": ["thetao"], "exact": True},
+    }
+    found = checks.validate(masked, config, "2020-02-26", "2020-03-04").toPandas()
+    assert sorted(found["check"]) == ["attributes", "attributes", "valid_time_coordinate"]
+    with pytest.raises(ValueError, match="start and end"):
+        checks.validate(masked, config)

@@ -8,7 +8,9 @@ from gridspark.functions import times
 from gridspark.functions.bits import morton
 from gridspark.functions.packing import Encoding
 from gridspark.plans import axes, sizing
+from gridspark.operators import select
 from gridspark.sources import parts
+from gridspark.sources.datasets import Part, merge_all, open_dataset
 from gridspark.sources.layout import Layout, chunk_table
 
 
@@ -147,3 +149,28 @@ def test_morton_interleaves_bits(spark):
     rows = df.select("x", "y", morton([F.col("x"), F.col("y")]).alias("m")).collect()
     assert {(r["x"], r["y"]): r["m"] for r in rows}[(2, 3)] == 0b1101
     assert sorted(r["m"] for r in rows) == list(range(16))
+
+
+def test_a_dataset_of_parts(spark, ocean, static, tmp_path):
+    dims = ("time", "depth", "lat", "lon")
+    ocean.frame(*dims).write.parquet(f"{tmp_path}/ocean")
+    named = static.frame("lat", "lon").select((F.col("lat") + 1e-12).alias("y"), F.col("lon").alias("x"), "deptho")
+    named.write.parquet(f"{tmp_path}/static")
+    geopotential = ocean.frame(*dims).where("depth = 0.5").select("time", "lat", "lon", F.col("thetao").alias("z"))
+    geopotential.write.parquet(f"{tmp_path}/z")
+    members = [
+        Part(f"{tmp_path}/ocean", dims),
+        Part(f"{tmp_path}/static", ("y", "x"), rename={"y": "lat", "x": "lon"}, coordinate_tolerance=1e-9),
+        Part(f"{tmp_path}/z", ("time", "lat", "lon"), time_offset="1D", static_time="2020-02-28"),
+    ]
+    steps = [{"name": "products", "heat": ["thetao", "deptho"]}]
+    cube = open_dataset(spark, members, "2020-02-27", "2020-02-29", steps)
+    assert set(cube.variables) == {"thetao", "deptho", "z", "heat"} and cube.dims_of("z") == ("lat", "lon")
+    expected = array_of(ocean, "thetao")[1:3]
+    np.testing.assert_array_equal(array_of(cube, "thetao"), expected)
+    np.testing.assert_allclose(array_of(cube, "heat"), expected * array_of(static, "deptho"))
+    np.testing.assert_array_equal(array_of(cube, "z"), array_of(ocean, "thetao")[1, 0])
+    both = merge_all([select.select_variables(cube, ["thetao"]), select.select_variables(cube, ["z"])])
+    assert set(both.variables) == {"thetao", "z"}
+    chunked = select.chunk(cube, {"time": 1, "lat": -1})
+    np.testing.assert_array_equal(array_of(chunked, "thetao"), expected)
