@@ -8,7 +8,7 @@ relations of known size, on equality, and aggregated once. Those relations grow
 with the data. Map-side partial sums mean that one cell, level or instant with most of the rows does
 not make one task heavy.
 
-Decisions where the rules are those of a library outside the reference's sources: ``nan_threshold``
+Decisions: ``nan_threshold``
 is 1 by default; nearest ties go to the lower position; cubic is Keys' cubic convolution (a = -0.5)
 with the edge values repeated; ties of the most (least) common value go to the smallest value.
 """
@@ -16,12 +16,14 @@ with the edge values repeated; ties of the most (least) common value go to the s
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 from pyspark.sql.window import Window
 
 from gridspark.cube import Cube, Dims
@@ -215,6 +217,7 @@ class _Horizontal:
     key: str
     weight: str
     targets: DataFrame
+    kind: DataType
 
     @property
     def dim(self) -> str:
@@ -224,7 +227,7 @@ class _Horizontal:
     def weights(self) -> DataFrame:
         """``(source label, key, weight)``."""
         named = self.targets.select(F.col("k").alias(self.key), F.inline("sources"))
-        return named.withColumnRenamed("w", self.weight)
+        return named.select(self.key, F.col("source").cast(self.kind).alias(self.dim), F.col("w").alias(self.weight))
 
     @property
     def labels(self) -> DataFrame:
@@ -239,20 +242,24 @@ class _Horizontal:
         )
 
 
-def axis_targets(cube: Cube, target: TargetAxis, method: str) -> DataFrame:
-    """``(k, label, inside, sources)`` of a target axis. Targets nothing contributes to have no sources
-    and are not inside."""
-    dim = target.dim
-    rows = _WEIGHTS[method](cube, target)
-    k = F.col("id").cast("int").alias("k")
-    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields[1:]]
-    every = rows.unionByName(rows.sparkSession.range(target.size).select(k, *nothing))
-    source = F.when(F.col(dim).isNotNull(), F.struct(dim, "w"))
-    merged = every.groupBy("k").agg(
-        F.coalesce(F.bool_or("inside"), F.lit(False)).alias("inside"), F.collect_list(source).alias("sources")
+def axis_targets(cube: Cube, targets: Sequence[TargetAxis], method: str) -> list[DataFrame]:
+    """Per target axis ``(k, label, inside, sources)``; one small job makes all of them. Targets nothing
+    contributes to have no sources and are not inside."""
+    parts = []
+    for number, target in enumerate(targets):
+        rows = _WEIGHTS[method](cube, target).withColumnRenamed(target.dim, "source")
+        found = rows.select("k", F.col("source").cast("double").alias("source"), "w", "inside")
+        spark = found.sparkSession
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in found.schema.fields[1:]]
+        every = found.unionByName(spark.range(target.size).select(F.col("id").cast("int").alias("k"), *nothing))
+        label = target.centre(F.col("k")).cast("float").alias("label")
+        parts.append(every.select(F.lit(number).alias("axis"), "k", label, "source", "w", "inside"))
+    contribution = F.when(F.col("source").isNotNull(), F.struct("source", "w"))
+    merged = reduce(DataFrame.unionByName, parts).groupBy("axis", "k", "label").agg(
+        F.coalesce(F.bool_or("inside"), F.lit(False)).alias("inside"), F.collect_list(contribution).alias("sources")
     )
-    label = target.centre(F.col("k")).cast("float").alias("label")
-    return local_copy(merged.select("k", label, "inside", "sources"))
+    table = local_copy(merged)
+    return [table.where(F.col("axis") == number).drop("axis") for number in range(len(parts))]
 
 
 def _joined(df: DataFrame, parts: list[_Horizontal]) -> DataFrame:
@@ -448,10 +455,11 @@ def regrid(
     # Results without data (missing as 0, fill values) need every label of the other dimensions.
     dense = method == "stat" or (method == "conservative" and not options.get("skipna", True))
     cube = cube.with_axes(*(d for d in used if dense or d in horizontal))
+    touching = [(t, key, w) for t, key, w in zip(targets, ("__i", "__j"), ("__u", "__v"), strict=True) if t.dim in used]
+    tables = axis_targets(cube, [t for t, _, _ in touching], method) if touching else []
     parts = [
-        _Horizontal(target, key, weight, axis_targets(cube, target, method))
-        for target, key, weight in zip(targets, ("__i", "__j"), ("__u", "__v"), strict=True)
-        if target.dim in used
+        _Horizontal(t, key, w, table, cube.axis(t.dim).schema[t.dim].dataType)
+        for (t, key, w), table in zip(touching, tables, strict=True)
     ]
     frames = {d: _regridded(cube, d, parts, method, options) if d in touched else df for d, df in cube.frames.items()}
     axes = {**cube.axes, **{t.dim: target_axis_table(cube, t) for t in targets}}

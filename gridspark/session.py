@@ -35,6 +35,7 @@ def session(master: str = "local[*]", shuffle_partitions: int = 8, memory: str =
         .appName("gridspark")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
