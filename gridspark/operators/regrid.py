@@ -3,14 +3,14 @@
 Every method is separable, so a grid is described by one short table per axis: per target index its
 label and the source labels that contribute to it, with weights. The target is regular, so the
 indices a source cell overlaps come from arithmetic on its edges, not from a range join. The axis
-tables are made first (one small job each, see ``local_copy``), so the data tables are joined to
+tables are made first (one small job, see ``local_copy``), so the data tables are joined to
 relations of known size, on equality, and aggregated once. Those relations grow with the axes, never
 with the data. Map-side partial sums mean that one cell, level or instant with most of the rows does
 not make one task heavy.
 
-Decisions: ``nan_threshold``
-is 1 by default; nearest ties go to the lower position; cubic is Keys' cubic convolution (a = -0.5)
-with the edge values repeated; ties of the most (least) common value go to the smallest value.
+Decisions: ``nan_threshold`` is 1 by default; nearest ties go to the lower position; cubic is Keys'
+cubic convolution (a = -0.5) with the edge values repeated; ties of the most (least) common value go
+to the smallest value.
 """
 
 from __future__ import annotations

@@ -174,7 +174,7 @@ def same_layout(t: Tables) -> DataFrame:
 @query(
     "K10_lead_statistics",
     "hourly",
-    f"""WITH {_AS_RUNS}, e AS (SELECT lead_time, r.t2m * (1 + lead_time / 864000.0) - h.t2m AS e FROM r
+    f"""WITH {_AS_RUNS}, e AS (SELECT lead_time, r.t2m * (1 + lead_time / 910800.0) - h.t2m AS e FROM r
             JOIN hourly h ON h.time = valid_time AND h.lat = r.lat AND h.lon = r.lon)
         SELECT lead_time, CAST(count(e) AS BIGINT) AS n, round(avg(e), 5) AS bias, round(avg(abs(e)), 5) AS mae,
             round(sqrt(avg(e * e)), 5) AS rmse FROM e GROUP BY 1""",
@@ -182,6 +182,6 @@ def same_layout(t: Tables) -> DataFrame:
 def lead_statistics(t: Tables) -> DataFrame:
     """A forecast that drifts with its lead, against the series."""
     table = forecast.as_runs(_series(t), _THREE, _START, _END)
-    drifting = table.withColumn("t2m", F.col("t2m") * (1 + F.col("lead_time") / F.lit(864000.0)))
+    drifting = table.withColumn("t2m", F.col("t2m") * (1 + F.col("lead_time") / F.lit(910800.0)))
     out = forecast.lead_statistics(drifting, _series(t), ["lat", "lon"], "t2m", "t2m", _THREE)
     return out.withColumns({c: F.round(c, 5) for c in ("bias", "mae", "rmse")})

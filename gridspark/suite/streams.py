@@ -41,7 +41,7 @@ def extend(t: Tables) -> DataFrame:
 
 @query(
     "M2_stream_resample",
-    sql="""SELECT date_trunc('day', ts) AS time, event_type, CAST(count(*) AS BIGINT) AS n, round(avg(value), 6) AS mean
+    sql="""SELECT date_trunc('day', ts) AS time, event_type, CAST(count(*) AS BIGINT) AS n, round(avg(value), 9) AS mean
         FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY GROUP BY 1, 2""",
 )
 def resample(t: Tables) -> DataFrame:
@@ -55,4 +55,4 @@ def resample(t: Tables) -> DataFrame:
         sink.option("checkpointLocation", f"{path}/state-{name}").start(f"{path}/{name}").awaitTermination()
     means = t.spark.read.parquet(f"{path}/mean")
     both = means.join(t.spark.read.parquet(f"{path}/n"), ["time", "event_type"])
-    return rounded(both.select("time", "event_type", "n", "mean"), "mean")
+    return rounded(both.select("time", "event_type", "n", "mean"), "mean", digits=9)
