@@ -1,11 +1,13 @@
 """The queries of this subpackage, and their SQL where SQL can express them."""
 
-from gridspark.llm import sharding
+from gridspark.llm import mixing, sharding
 
 QUERIES = {
     "op2_jump_shards": sharding.op2_jump_shards,
+    "op3_source_mix": mixing.op3_source_mix,
 }
 
 SQL = {
     "op2_jump_shards": sharding.OP2_SQL,
+    "op3_source_mix": mixing.OP3_SQL,
 }
