@@ -1,10 +1,11 @@
 """The queries of this subpackage, and their SQL where SQL can express them."""
 
-from gridspark.llm import mixing, sharding
+from gridspark.llm import minhash, mixing, sharding
 
 QUERIES = {
     "op2_jump_shards": sharding.op2_jump_shards,
     "op3_source_mix": mixing.op3_source_mix,
+    "op10_near_duplicates": minhash.op10_near_duplicates,
 }
 
 SQL = {
