@@ -1,12 +1,13 @@
 """The queries of this subpackage, and their SQL where SQL can express them."""
 
-from gridspark.llm import decontaminate, minhash, mixing, quality, sharding
+from gridspark.llm import decontaminate, fingerprint, minhash, mixing, quality, sharding
 
 QUERIES = {
     "op2_jump_shards": sharding.op2_jump_shards,
     "op3_source_mix": mixing.op3_source_mix,
     "op5_contaminations": decontaminate.op5_contaminations,
     "op6_quality": quality.op6_quality,
+    "op9_closed_syncmers": fingerprint.op9_closed_syncmers,
     "op10_near_duplicates": minhash.op10_near_duplicates,
 }
 
