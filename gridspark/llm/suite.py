@@ -1,8 +1,9 @@
 """The queries of this subpackage, and their SQL where SQL can express them."""
 
-from gridspark.llm import decontaminate, fingerprint, minhash, mixing, quality, sharding
+from gridspark.llm import decontaminate, fingerprint, minhash, mixing, quality, sharding, substrings
 
 QUERIES = {
+    "op1_substring_dedup": substrings.op1_substring_dedup,
     "op2_jump_shards": sharding.op2_jump_shards,
     "op3_source_mix": mixing.op3_source_mix,
     "op5_contaminations": decontaminate.op5_contaminations,
@@ -12,6 +13,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_substring_dedup": substrings.OP1_SQL,
     "op2_jump_shards": sharding.OP2_SQL,
     "op3_source_mix": mixing.OP3_SQL,
 }
