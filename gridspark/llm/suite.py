@@ -1,11 +1,12 @@
 """The queries of this subpackage, and their SQL where SQL can express them."""
 
-from gridspark.llm import decontaminate, fingerprint, minhash, mixing, quality, sharding, substrings
+from gridspark.llm import decontaminate, fingerprint, minhash, mixing, ppm, quality, sharding, substrings
 
 QUERIES = {
     "op1_substring_dedup": substrings.op1_substring_dedup,
     "op2_jump_shards": sharding.op2_jump_shards,
     "op3_source_mix": mixing.op3_source_mix,
+    "op4_ppm_scores": ppm.op4_ppm_scores,
     "op5_contaminations": decontaminate.op5_contaminations,
     "op6_quality": quality.op6_quality,
     "op9_closed_syncmers": fingerprint.op9_closed_syncmers,
