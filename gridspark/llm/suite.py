@@ -1,6 +1,6 @@
 """The queries of this subpackage, and their SQL where SQL can express them."""
 
-from gridspark.llm import decontaminate, fingerprint, minhash, mixing, ppm, quality, sharding, substrings
+from gridspark.llm import decontaminate, fingerprint, minhash, mixing, ppm, quality, sharding, substrings, warc
 
 QUERIES = {
     "op1_substring_dedup": substrings.op1_substring_dedup,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_ppm_scores": ppm.op4_ppm_scores,
     "op5_contaminations": decontaminate.op5_contaminations,
     "op6_quality": quality.op6_quality,
+    "op7_warc": warc.op7_warc,
     "op9_closed_syncmers": fingerprint.op9_closed_syncmers,
     "op10_near_duplicates": minhash.op10_near_duplicates,
 }
@@ -17,4 +18,5 @@ SQL = {
     "op1_substring_dedup": substrings.OP1_SQL,
     "op2_jump_shards": sharding.OP2_SQL,
     "op3_source_mix": mixing.OP3_SQL,
+    "op7_warc": warc.OP7_SQL,
 }
