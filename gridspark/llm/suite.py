@@ -1,6 +1,6 @@
 """The queries of this subpackage, and their SQL where SQL can express them."""
 
-from gridspark.llm import decontaminate, fingerprint, minhash, mixing, ppm, quality, sharding, substrings, warc
+from gridspark.llm import decontaminate, fingerprint, minhash, mixing, ppm, quality, secrets, sharding, substrings, warc
 
 QUERIES = {
     "op1_substring_dedup": substrings.op1_substring_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_contaminations": decontaminate.op5_contaminations,
     "op6_quality": quality.op6_quality,
     "op7_warc": warc.op7_warc,
+    "op8_secrets": secrets.op8_secrets,
     "op9_closed_syncmers": fingerprint.op9_closed_syncmers,
     "op10_near_duplicates": minhash.op10_near_duplicates,
 }
