@@ -1,9 +1,9 @@
 """Near duplicates by b-bit MinHash: band candidates, similarity estimated from packed low bits, links confirmed.
 
-Each text has 80 minima over its distinct word shingles. Twenty bands of four minima give the candidates: a pair of
-similarity 0.85 shares none with a chance below 1e-6. Of every minimum the lower four bits are packed; two signatures
+Each text has 96 minima over its distinct word shingles. Bands of four minima give the candidates: a pair of similarity
+0.8 shares none with a chance of 3e-6, one of 0.85 with 8e-8. Of every minimum the lower four bits are packed; two signatures
 agree by chance in a sixteenth of the places, for which the estimate is corrected. Only a pair estimated far below the
-threshold (by more than six standard deviations) is left without a look at its full sets; every link is confirmed on
+threshold (by more than five standard deviations) is left without a look at its full sets; every link is confirmed on
 them.
 
 Texts with equal sets are one class from the start. Classes that share a band, directly or through others, are a family,
@@ -22,22 +22,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark.llm.components import components
-from gridspark.llm.shared import table, written
+from gridspark.llm.shared import WORD, table, written
 from gridspark.llm.words import chunks, mixed, run_hashes, word_hashes
 
-ROWS, BANDS, BITS = 4, 20, 4
+ROWS, BANDS, BITS = 4, 24, 4
 MINIMA = ROWS * BANDS
 #: Shingles whose texts may come to one task.
 FAMILY_SHINGLES = 1_000_000
-#: Places that must agree, of 80, before full sets are compared. At similarity 0.85, 69 agree in the mean, with a
-#: standard deviation of 3.1.
-AGREEING = 48
+#: Places that must agree, of 96, before full sets are compared. At similarity 0.8, 78 agree in the mean, with a
+#: standard deviation of 3.8.
+AGREEING = 58
 
 _RANDOM = np.random.default_rng(7)
 _FACTORS = _RANDOM.integers(1, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _RANDOM.integers(1, 1 << 63, MINIMA, dtype=np.uint64)
 
-_SIGNED = "doc_id long, n_shingles long, key binary, bands array<long>, packed binary"
+_SIGNED = "doc_id long, tag long, n_shingles long, key binary, bands array<long>, packed binary"
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -95,19 +95,20 @@ def _signatures(k: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(at, len(sets)),
+                        batch.column("tag").slice(at, len(sets)),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
                         pa.array(packed, pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "key", "bands", "packed"],
+                    ["doc_id", "tag", "n_shingles", "key", "bands", "packed"],
                 )
 
     return sign
 
 
 def agreeing(one: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """In how many of the 80 places a packed signature agrees with each of others (as rows of five 64 bit numbers)."""
+    """In how many of the 96 places a packed signature agrees with each of others (as rows of six 64 bit numbers)."""
     x = others ^ one
     x |= x >> np.uint64(2)
     x |= x >> np.uint64(1)
@@ -246,16 +247,10 @@ def _tasks(classes: DataFrame) -> DataFrame:
     return tasks.join(classes.select("key", "doc", "packed"), "key")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 85) -> DataFrame:
-    """A row per row of ``docs`` (doc_id, text; others are ignored) with its component.
-
-    Texts are lower-cased (A-Z); a text's set has its distinct runs of ``words`` words, or the whole text if it has
-    fewer. Texts are linked if the intersection is at least ``percent`` hundredths of the union; ``component_id`` is the
-    smallest doc_id reachable, its own included, and ``kept`` tells that it is the row's own. Null and empty texts have
-    no shingles and stand alone. Rows without an id count towards their component; one of such rows alone has a null
-    component and is kept. Repeated rows are in one component.
-    """
-    signed = written(docs.select("doc_id", "text").mapInArrow(_signatures(words), _SIGNED), "signed")
+def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, tag, n_shingles, root, component_id) for every row; root and component_id are null without shingles."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tag"), "text")
+    signed = written(rows.mapInArrow(_signatures(words), _SIGNED), "signed")
     classes = written(
         signed.filter("n_shingles > 0")
         .groupBy("key")
@@ -268,7 +263,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 85) -> DataF
         "classes",
     )
     tasks = _tasks(classes)
-    texts = docs.select(F.col("doc_id").alias("doc"), "text")
+    texts = rows.select(F.col("doc_id").alias("doc"), "text")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     links = (
         tasks.join(texts, tasks["doc"].eqNullSafe(texts["doc"]))
@@ -280,13 +275,42 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 85) -> DataF
     roots = components(written(links, "confirmed")).withColumnRenamed("node", "key")
     joined = classes.select("key", "doc").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = joined.groupBy("root").agg(F.min("doc").alias("component_id"))
-    component = joined.join(smallest, "root").select("key", "component_id")
-    out = signed.select("doc_id", "n_shingles", "key").join(component, "key", "left")
+    component = joined.join(smallest, "root").select("key", "root", "component_id")
+    return signed.select("doc_id", "tag", "n_shingles", "key").join(component, "key", "left").drop("key")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 85) -> DataFrame:
+    """A row per row of ``docs`` (doc_id, text; others are ignored) with its component.
+
+    Texts are lower-cased (A-Z); a text's set has its distinct runs of ``words`` words, or the whole text if it has
+    fewer. Texts are linked if the intersection is at least ``percent`` hundredths of the union; ``component_id`` is the
+    smallest doc_id reachable, its own included, and ``kept`` tells that it is the row's own. Null and empty texts have
+    no shingles and stand alone. Rows without an id count towards their component; one of such rows alone has a null
+    component and is kept. Repeated rows are in one component.
+    """
+    out = _components(docs, words, percent)
     component_id = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component_id.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
 
+def representatives(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each component of ``docs``, with all its columns: that with the smallest id; see
+    :func:`near_duplicates`.
+
+    A null id is after all others. Of rows with that id, one of the text with the least hash stays, so repeated rows leave
+    one. Rows without words all stay.
+    """
+    found = _components(docs, words, percent).filter("n_shingles > 0")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("one")
+    keep = found.groupBy("root").agg(least).select(F.col("one.doc_id").alias("__id"), F.col("one.tag").alias("__hash"))
+    rows = docs.withColumn("__tag", F.xxhash64("text"))
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__tag") == F.col("__hash"))
+    kept = rows.filter(worded).join(keep, same, "left_semi").dropDuplicates(["doc_id", "__tag"])
+    return kept.union(rows.filter(~worded)).drop("__tag")
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

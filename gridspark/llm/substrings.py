@@ -1,6 +1,6 @@
 """Exact repeated passages, found by full-text indexes over shards of the corpus.
 
-A passage is a window of ``window`` words. Its anchor is the smallest hash of eight words within it (the first, if equal),
+A passage is a window of ``window`` words. Its anchor is the smallest hash of five words within it (the first, if equal),
 so equal windows have equal anchors, wherever they stand; neighbouring windows mostly share theirs. The run of words under
 the windows of one anchor is a segment. Only anchors that occur in two documents matter, and of equal segments one copy.
 Those segments are dealt out by anchor to shards of bounded size. Each shard builds an FM-index of its segments and
@@ -25,11 +25,15 @@ from gridspark.llm.shared import table, written
 from gridspark.llm.words import Chunk, chunks, mixed, run_hashes, word_hashes
 
 #: Words whose hash may be an anchor.
-GRAM = 8
+GRAM = 5
 #: Words of a shard's segments, in the mean at most.
-SHARD_WORDS = 400_000
+SHARD_WORDS = 200_000
 #: Different segments of one anchor from which its windows are keyed one by one.
 HOT_SEGMENTS = 5_000
+#: Of those anchors, so many are sent to all tasks at most (eight bytes each).
+HOT_ANCHORS = 2_000_000
+#: An anchor with more runs than ``HEAVY_RUNS``, and more than all runs by ``HEAVY_SHARE``, is dealt out when joined.
+HEAVY_RUNS, HEAVY_SHARE = 20_000, 100_000
 #: Stands for a null id, which comes after all others.
 _NO_ID = (1 << 63) - 1
 
@@ -92,8 +96,8 @@ def _run_batch(batch: pa.RecordBatch, chunk: Chunk, anchor, segment, start, size
     )
 
 
-def _segment_runs(window: int):
-    """Each text's segments."""
+def _segment_runs(window: int, hot: np.ndarray):
+    """Each text's segments; windows with one of the ``hot`` anchors (sorted) stand alone, under their own hash."""
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -101,6 +105,16 @@ def _segment_runs(window: int):
                 hashes, starts, places, grams = _windows(chunk, window)
                 if not len(starts):
                     continue
+                if len(hot):
+                    anchors = grams[places].view(np.int64)
+                    alone = hot[np.minimum(np.searchsorted(hot, anchors), len(hot) - 1)] == anchors
+                    single = starts[alone]
+                    size = np.full(len(single), window)
+                    own = _hashed(hashes, single, size)
+                    yield _run_batch(batch, chunk, mixed(own.view(np.uint64), 9).view(np.int64), own, single, size)
+                    starts, places = starts[~alone], places[~alone]
+                    if not len(starts):
+                        continue
                 fresh = np.flatnonzero(np.append(True, (places[1:] != places[:-1]) | (starts[1:] != starts[:-1] + 1)))
                 begin, last = starts[fresh], starts[np.append(fresh[1:], len(starts)) - 1]
                 size = last + window - begin
@@ -110,37 +124,6 @@ def _segment_runs(window: int):
     return runs
 
 
-def _window_runs(window: int):
-    """The single windows of texts whose anchor is among the row's ``hot`` ones."""
-
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hot_of = batch.column("hot").to_pylist()
-            for chunk in chunks(batch.column("text")):
-                hashes, starts, places, grams = _windows(chunk, window)
-                if not len(starts):
-                    continue
-                anchors = grams[places].view(np.int64)
-                of = np.searchsorted(chunk.first, starts, side="right") - 1
-                picked = np.concatenate(
-                    [
-                        np.flatnonzero(np.isin(anchors[a:b], np.array(hot_of[chunk.at + i], np.int64))) + a
-                        for i, (a, b) in enumerate(_bounds(of, chunk.n))
-                    ]
-                )
-                start = starts[picked]
-                size = np.full(len(start), window)
-                own = _hashed(hashes, start, size)
-                yield _run_batch(batch, chunk, mixed(own.view(np.uint64), 9).view(np.int64), own, start, size)
-
-    return runs
-
-
-def _bounds(of: np.ndarray, n: int) -> list[tuple[int, int]]:
-    at = np.searchsorted(of, np.arange(n + 1)).tolist()
-    return list(zip(at[:-1], at[1:], strict=True))
-
-
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words of segments, from the texts that have them."""
     for batch in batches:
@@ -253,51 +236,76 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def _runs(texts: DataFrame, window: int, hot: np.ndarray) -> DataFrame:
+    return texts.mapInArrow(_segment_runs(window, hot), _RUNS)
+
+
+def _anchors(runs: DataFrame) -> DataFrame:
+    """The anchors that occur in two documents, with how often and whether their segments differ."""
+    counted = runs.groupBy("anchor").agg(
+        F.min("doc").alias("first"),
+        F.max("doc").alias("last"),
+        F.count(F.lit(1)).alias("n"),
+        (F.min("segment") != F.max("segment")).alias("differ"),
+    )
+    return written(counted.filter("first < last").select("anchor", "n", "differ"), "anchors")
+
+
+def _hot_anchors(runs: DataFrame, shared: DataFrame) -> np.ndarray:
+    """The anchors with more than ``HOT_SEGMENTS`` different segments; the most frequent, up to ``HOT_ANCHORS``."""
+    often = shared.filter((F.col("n") > HOT_SEGMENTS) & F.col("differ")).orderBy(F.desc("n"), "anchor").limit(HOT_ANCHORS)
+    often = written(often.select("anchor"), "often")
+    if not often.limit(1).count():
+        return np.zeros(0, np.int64)
+    different = runs.select("anchor", "segment").join(F.broadcast(often), "anchor").distinct().groupBy("anchor").count()
+    rows = different.filter(F.col("count") > HOT_SEGMENTS).select("anchor").collect()
+    return np.sort(np.array([r[0] for r in rows], np.int64))
+
+
+def _of_shared(runs: DataFrame, shared: DataFrame, total: int) -> DataFrame:
+    """The runs of shared anchors. Anchors with many runs are dealt out by document; there are at most ``HEAVY_SHARE``."""
+    many = max(HEAVY_RUNS, total // HEAVY_SHARE)
+    parts = F.ceil(F.col("n") / F.lit(many)).cast("int")
+    heavy = shared.filter(F.col("n") > many).select("anchor", parts.alias("parts"))
+    salted = runs.join(F.broadcast(heavy), "anchor", "left").withColumn(
+        "salt", F.pmod(F.hash("doc"), F.coalesce("parts", F.lit(1)))
+    )
+    salts = shared.select("anchor", F.explode(F.sequence(F.lit(0), parts - 1)).alias("salt"))
+    return salted.drop("parts").join(salts, ["anchor", "salt"], "left_semi").drop("salt")
+
+
 def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
     """(doc, tag, spans) for the texts in which windows start that also start in a document with a smaller id: the word
     ranges ``from`` - ``to`` that those windows cover, which may overlap. A null id is after all others; ``tag`` is the
     text's hash and tells rows with equal ids apart."""
     if not GRAM < window <= 64:
-        raise ValueError("a window has 9 to 64 words")
+        raise ValueError(f"a window has {GRAM + 1} to 64 words")
     texts = _texts(docs)
-    runs = written(texts.mapInArrow(_segment_runs(window), _RUNS), "segments")
-    total = runs.count()
-    distinct = runs.groupBy("anchor", "segment").agg(
-        F.min(F.struct("doc", "tag", "at", "size")).alias("one"), F.max("doc").alias("most")
-    )
-    by_anchor = distinct.groupBy("anchor").agg(
-        F.min("one.doc").alias("first"), F.max("most").alias("last"), F.count(F.lit(1)).alias("n")
-    )
-    hot = by_anchor.filter((F.col("n") > HOT_SEGMENTS) & (F.col("first") < F.col("last"))).select("anchor")
-    hot = written(hot, "hot")
-    if hot.limit(1).count():
-        hot_in = runs.join(hot, "anchor", "left_semi").groupBy("doc", "tag").agg(F.collect_set("anchor").alias("hot"))
-        single = texts.join(hot_in, ["doc", "tag"]).mapInArrow(_window_runs(window), _RUNS)
-        runs = written(runs.join(hot, "anchor", "left_anti").union(single), "segments")
-        total = runs.count()
-        return _spans(texts, runs, total, window)
-    return _spans(texts, runs, total, window)
-
-
-def _spans(texts: DataFrame, runs: DataFrame, total: int, window: int) -> DataFrame:
+    runs = _runs(texts, window, np.zeros(0, np.int64))
+    shared = _anchors(runs)
+    hot = _hot_anchors(runs, shared)
+    if len(hot):
+        runs = _runs(texts, window, hot)
+        shared = _anchors(runs)
+    total = shared.agg(F.sum("n")).first()[0] or 0
+    runs = _of_shared(runs, shared, total)
     shards = max(1, total * (window + 20) // SHARD_WORDS)
-    distinct = runs.groupBy("anchor", "segment").agg(
-        F.min(F.struct("doc", "tag", "at", "size")).alias("one"), F.max("doc").alias("most")
-    )
-    shared = distinct.groupBy("anchor").agg(F.min("one.doc").alias("first"), F.max("most").alias("last"))
-    shared = shared.filter(F.col("first") < F.col("last")).select("anchor")
-    wanted = distinct.join(shared, "anchor").select(
-        F.col("one.doc").alias("doc"),
-        F.col("one.tag").alias("tag"),
-        F.struct(
-            F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int").alias("shard"),
-            "anchor",
-            "segment",
-            F.col("one.at").alias("at"),
-            F.col("one.size").alias("size"),
-            F.col("one.doc").alias("least"),
-            "most",
-        ).alias("s"),
+    wanted = (
+        runs.groupBy("anchor", "segment")
+        .agg(F.min(F.struct("doc", "tag", "at", "size")).alias("one"), F.max("doc").alias("most"))
+        .select(
+            F.col("one.doc").alias("doc"),
+            F.col("one.tag").alias("tag"),
+            F.struct(
+                F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int").alias("shard"),
+                "anchor",
+                "segment",
+                F.col("one.at").alias("at"),
+                F.col("one.size").alias("size"),
+                F.col("one.doc").alias("least"),
+                "most",
+            ).alias("s"),
+        )
     )
     wanted = wanted.groupBy("doc", "tag").agg(F.collect_list("s").alias("segments"))
     kind = "shard int, anchor long, segment long, least long, most long, words binary"
