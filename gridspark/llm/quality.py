@@ -112,7 +112,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-3) -> Model:
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400, rate: float = 0.08, decay: float = 1e-4) -> Model:
     """Minimises the non-negative risk with the logistic loss, by Adam over all rows at once.
 
     While the negatives' risk is below zero, a step goes up that risk instead. Without positives or unlabelled rows the
