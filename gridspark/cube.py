@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -71,13 +72,14 @@ class Cube:
         raise ValueError(f"the cube has no variables on {sorted(wanted)}")
 
     def axis(self, dim: str) -> DataFrame:
-        """The axis table of ``dim``; read from the data when the cube does not store it."""
+        """The axis table of ``dim``; when the cube does not store it, the labels of all tables that have
+        the dimension (a row may be absent from any of them)."""
         if dim in self.axes:
             return self.axes[dim]
-        candidates = [(len(key), key) for key in self.frames if dim in key]
-        if not candidates:
+        having = [df.select(dim) for key, df in self.frames.items() if dim in key]
+        if not having:
             raise ValueError(f"the cube has no dimension {dim!r}")
-        return axis_from(self.frames[min(candidates)[1]], dim)
+        return axis_from(reduce(DataFrame.union, having), dim)
 
     def with_axes(self, *dims: str) -> Cube:
         """The cube with these axes stored, each read once."""

@@ -15,8 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from gridspark.plans.sizing import LOCAL_ROWS, local_copy
-
-_RANK_BUCKETS = 4096
+from gridspark.session import workspace
 
 
 def axis_of(spark: SparkSession, dim: str, values: Sequence, dtype: T.DataType | None = None) -> DataFrame:
@@ -31,7 +30,7 @@ def axis_from(df: DataFrame, dim: str, descending: bool = False) -> DataFrame:
     """The axis of the labels present in ``df``, in label order.
 
     One column is scanned and made distinct before it is shuffled. Up to ``LOCAL_ROWS`` labels are
-    ranked as one small relation; longer axes are ranked bucket by bucket (see ``_ranked``).
+    ranked as one small relation; longer axes are sorted over all tasks (see ``_ranked``).
     """
     labels = df.select(dim).where(F.col(dim).isNotNull()).distinct()
     local = local_copy(labels)
@@ -42,27 +41,18 @@ def axis_from(df: DataFrame, dim: str, descending: bool = False) -> DataFrame:
 
 
 def _ranked(labels: DataFrame, dim: str, descending: bool) -> DataFrame:
-    """Positions of many labels, ranked inside equal-width buckets of their range; the number of
-    labels in the buckets before (at most ``_RANK_BUCKETS`` rows) is added."""
-    numeric = F.col(dim).cast("timestamp").cast("double") if isinstance(
-        labels.schema[dim].dataType, (T.TimestampType, T.DateType)
-    ) else F.col(dim).cast("double")
-    low, high = labels.agg(F.min(numeric), F.max(numeric)).first()
-    width = max((high - low) / _RANK_BUCKETS, 1e-12)
-    bucket = F.floor((numeric - F.lit(low)) / F.lit(width))
-    if descending:
-        bucket = -bucket
-    keyed = labels.withColumn("bucket", bucket)
-    counts = keyed.groupBy("bucket").count()
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    """Positions of many labels of any type: sorted over all tasks and written, so that each keeps its
+    place in its part; the number of labels in the parts before (one row per part) is added."""
     order = F.col(dim).desc() if descending else F.col(dim).asc()
-    inside = F.row_number().over(Window.partitionBy("bucket").orderBy(order)) - 1
-    return (
-        keyed.withColumn("inside", inside)
-        .join(F.broadcast(starts), "bucket")
-        .select((F.col("start") + F.col("inside")).cast("int").alias("idx"), dim)
+    path = workspace(labels.sparkSession, "ranked")
+    labels.orderBy(order).withColumn("place", F.monotonically_increasing_id()).write.parquet(path)
+    placed = labels.sparkSession.read.parquet(path).withColumn("part", F.shiftright("place", 33))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("part").count().select(
+        "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start")
     )
+    inside = F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(F.broadcast(starts), "part").select((F.col("start") + inside).cast("int").alias("idx"), dim)
 
 
 def shifted(axis: DataFrame, dim: str, by: int, name: str) -> DataFrame:

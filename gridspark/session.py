@@ -46,14 +46,22 @@ def session(master: str = "local[*]", shuffle_partitions: int = 8, memory: str =
     return configure(spark)
 
 
-def workspace(spark: SparkSession, name: str) -> str:
-    """A new folder path for written intermediate tables.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which the driver and all executors see.
 
-    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``; only a session
-    without one (tests) gets a temporary folder.
+    A session within one machine (tests) that has none gets a folder of its own; a cluster is refused.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        root = tempfile.mkdtemp(prefix="gridspark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="gridspark-"))
+    return context.getCheckpointDir().rstrip("/")
+
+
+def workspace(spark: SparkSession, name: str) -> str:
+    """A new folder path for written intermediate tables, in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
@@ -20,6 +21,17 @@ from gridspark.sources.store import Output, intervals_of
 _FAR = "9999-01-01"  # no end
 
 
+def consecutive(intervals: Sequence[tuple]) -> list[list[tuple]]:
+    """Intervals in order, in runs that follow one another without a gap."""
+    out: list[list[tuple]] = []
+    for interval in intervals:
+        if out and out[-1][-1][1] == interval[0]:
+            out[-1].append(interval)
+        else:
+            out.append([interval])
+    return out
+
+
 def stream_extend(
     source: DataFrame,
     output: Output,
@@ -38,9 +50,9 @@ def stream_extend(
 
     Every micro-batch is added to a staged table partitioned by block; the blocks that end by the
     batch's latest stamp and are not in the output yet are read from it (``cube_of``, then ``steps``)
-    and published as one extension. A batch run again rewrites its own staged partitions, and blocks
-    already published are skipped, so nothing is taken twice. Blocks completed by earlier batches
-    were published by them: neither the staged table nor the output is scanned for what is new.
+    and published as one extension. A row that arrives for a block already published opens it again:
+    the block is made anew from everything staged for it and published with the next version. A batch
+    run again rewrites its own staged partitions, so nothing is taken twice.
     """
     spark = source.sparkSession
     staged = staging or f"{output.path}/staged"
@@ -56,16 +68,22 @@ def stream_extend(
             return
         whole = (F.unix_seconds("block_end") - F.unix_seconds("block_start")) == seconds(step)
         planned = blocks(spark, start, latest, step).where(whole)
-        current = output.current()
+        arrived = spark.read.parquet(staged)
+        current, late = output.current(), []
         if current is not None:
-            planned = planned.join(local_copy(output.committed()), ["block_start", "block_end"], "left_anti")
-        todo = intervals_of(planned)
+            known = local_copy(output.committed())
+            touched = arrived.where(F.col("batch") == number).select("block").distinct()
+            late = intervals_of(planned.join(known, ["block_start", "block_end"], "left_semi").join(touched, "block"))
+            planned = planned.join(known, ["block_start", "block_end"], "left_anti")
+        todo = [*consecutive(intervals_of(planned)), *([interval] for interval in late)]
         if not todo:
             return
         run = output.start(recipe_id, "new" if current is None else "extend", layout)
-        numbers = [r["block"] for r in planned.select("block").collect()]
-        arrived = spark.read.parquet(staged).where(F.col("block").isin(numbers)).drop("block", "batch")
-        run.write_blocks(process(cube_of(arrived), steps), todo, checks)
+        origin, length = datetime.datetime.fromisoformat(start), seconds(step)
+        for intervals in todo:
+            numbers = [int((left - origin).total_seconds() // length) for left, _ in intervals]
+            inside = arrived.where(F.col("block").isin(numbers)).drop("block", "batch")
+            run.write_blocks(process(cube_of(inside), steps), intervals, checks)
         run.publish()
 
     return (

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from gridspark.cube import Cube
 from gridspark.operators import cells, regrid
+from gridspark.plans.axes import _ranked
 
 WHERE = {"latitude_dim": "lat", "longitude_dim": "lon"}
 GRID = {"south": -1.5, "north": 1.5, "west": 0.5, "east": 3.5, "resolution_lat": 1.0, "resolution_lon": 1.0}
@@ -154,3 +155,23 @@ def test_other_variables_pass_through(spark, static):
     assert array_of(out, "x").tolist() == [0.0, 1.0, 2.0]
     with pytest.raises(ValueError, match="no method"):
         regrid.regrid(static, GRID, method="bilinear", **WHERE)
+
+
+def test_labels_absent_from_one_table_are_not_lost(spark):
+    """A static table without its land rows leaves the other tables' labels on the axis."""
+    axes = {"lat": [0.0, 1.0, 2.0, 3.0], "lon": [0.0, 1.0, 2.0, 3.0]}
+    full = cube_of(spark, ("lat", "lon"), np.arange(16.0).reshape(4, 4), axes, "v")
+    partial = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (3.0, 5.0)], "lat double, m double")
+    cube = Cube.of({("lat", "lon"): full.frame("lat", "lon"), ("lat",): partial})
+    assert [r["lat"] for r in cube.axis("lat").orderBy("idx").collect()] == axes["lat"]
+
+
+@pytest.mark.parametrize("values, kind", [(["b", "a", "d", "c"], "string"), ([3.5, -1.0, 2.0, 9.0], "double")])
+def test_long_axes_of_any_type_are_ranked(spark, values, kind):
+    labels = spark.createDataFrame([(v,) for v in values], f"x {kind}")
+    for descending in (False, True):
+        got = [r["x"] for r in _ranked(labels, "x", descending).orderBy("idx").collect()]
+        assert got == sorted(values, reverse=descending)
+        stamps = labels.selectExpr("timestamp_ntz'2020-01-01' + make_dt_interval(ascii(cast(x as string))) AS x")
+        ranked = _ranked(stamps.distinct(), "x", descending)
+        assert [r["idx"] for r in ranked.orderBy("idx").collect()] == list(range(ranked.count()))

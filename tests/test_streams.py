@@ -40,6 +40,25 @@ def test_an_output_is_extended_with_what_arrives(spark, tmp_path):
     assert output.current() == 2
 
 
+def test_late_rows_open_their_block_again(spark, tmp_path):
+    output = Output(spark, f"{tmp_path}/out")
+    steps = [{"name": "resample", "time": "1D", "reduce": "sum", "dense": False}]
+
+    def take():
+        source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        stream_extend(source, output, lambda df: Cube.of({("time",): df}), "2020-01-01 00:00:00", "1D", steps).awaitTermination()
+
+    schema = arriving(spark, tmp_path, 0, 20)
+    arriving(spark, tmp_path, 24, 50)
+    take()
+    assert array_of(output.read(), "v").tolist() == [sum(range(20)), sum(range(24, 48))]
+    arriving(spark, tmp_path, 20, 24)
+    arriving(spark, tmp_path, 50, 75)
+    take()
+    assert array_of(output.read(), "v").tolist() == [sum(range(24 * d, 24 * d + 24)) for d in range(3)]
+    assert array_of(output.read(1), "v").tolist() == [sum(range(20)), sum(range(24, 48))]
+
+
 def test_streamed_bins_are_those_of_the_batch(spark, tmp_path):
     schema = arriving(spark, tmp_path, 0, 100)
     source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in").withColumn("cell", F.lit(1))
