@@ -6,25 +6,30 @@ import math
 
 
 def window(size: int, weighting: str = "constant", scale: float | None = None) -> list[tuple[int, float]]:
-    """``(offset, weight)`` of a window of ``size`` bins, ``-(size // 2)`` to ``size - size // 2 - 1``.
+    """``(offset, weight)`` of ``size`` bins; the middle one, or the later of the two in the middle, is 0.
 
-    ``constant`` weighs all alike; ``gaussian`` has the standard deviation ``scale`` (default half the
-    half-width); ``geometric`` decays by the ratio ``scale`` per bin (default a tenth at the edge).
+    All weights are ``exp(-rate * |offset| ** power)``. ``constant`` has the rate 0. ``gaussian`` falls with the
+    square, by its standard deviation ``scale`` (if not given, half of the farthest offset). ``geometric``
+    falls by the ratio ``scale`` from bin to bin (if not given, to a tenth at the farthest).
     """
-    if size < 1:
-        raise ValueError(f"a window has at least one bin, got {size}")
-    offsets = range(-(size // 2), size - size // 2)
-    half = max(abs(k) for k in offsets)
-    if weighting not in ("constant", "gaussian", "geometric"):
-        raise ValueError(f"no weighting {weighting!r}: constant, gaussian or geometric")
-    if weighting == "constant" or half == 0:
-        return [(k, 1.0) for k in offsets]
-    if weighting == "gaussian":
-        sigma = half / 2.0 if scale is None else scale
-        if sigma <= 0:
-            raise ValueError(f"gaussian: the scale must be positive, got {sigma}")
-        return [(k, math.exp(-0.5 * (k / sigma) ** 2)) for k in offsets]
-    ratio = 0.1 ** (1.0 / half) if scale is None else scale
-    if not 0.0 < ratio <= 1.0:
-        raise ValueError(f"geometric: the ratio must be in (0, 1], got {ratio}")
-    return [(k, ratio ** abs(k)) for k in offsets]
+    first = -(size // 2)
+    offsets = list(range(first, first + size))
+    if not offsets:
+        raise ValueError(f"{size} bins make no window")
+    far = -first or 1
+    match weighting:
+        case "constant":
+            rate, power = 0.0, 1
+        case "gaussian":
+            spread = far / 2 if scale is None else scale
+            if not spread > 0:
+                raise ValueError(f"a gaussian with the standard deviation {spread} has no width")
+            rate, power = 0.5 / spread**2, 2
+        case "geometric":
+            ratio = 0.1 ** (1 / far) if scale is None else scale
+            if not 0 < ratio <= 1:
+                raise ValueError(f"weights that change by {ratio} from bin to bin do not fall")
+            rate, power = -math.log(ratio), 1
+        case _:
+            raise ValueError(f"weights are constant, gaussian or geometric, not {weighting!r}")
+    return [(k, math.exp(-rate * abs(k) ** power)) for k in offsets]

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from gridspark.operators import blocks
 from gridspark.suite.tables import Tables, query
 
-_SPAN = ("2024-01-01", "2024-01-30", "8D")
+_SPAN = ("2024-01-01", "2024-01-31", "8D")
 _BLOCKS = """b AS (SELECT CAST(k AS INT) AS block, TIMESTAMP '2024-01-01' + to_days(CAST(8 * k AS INT)) AS block_start,
-        least(TIMESTAMP '2024-01-01' + to_days(CAST(8 * k + 8 AS INT)), TIMESTAMP '2024-01-30') AS block_end
+        least(TIMESTAMP '2024-01-01' + to_days(CAST(8 * k + 8 AS INT)), TIMESTAMP '2024-01-31') AS block_end
         FROM (SELECT unnest(range(4)) AS k))"""
 
 

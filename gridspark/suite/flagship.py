@@ -13,7 +13,7 @@ from gridspark.sources.store import Output, intervals_of
 from gridspark.suite.geometry import NESTED, WHERE, _overlaps
 from gridspark.suite.tables import Tables, query, rounded
 
-_START, _END = "2024-01-01", "2024-01-29"
+_START, _END = "2024-01-01", "2024-01-31"
 
 STEPS = [
     {"name": "time_sel", "start": _START, "end": _END},

@@ -11,7 +11,7 @@ from gridspark.plans.axes import axis_of
 from gridspark.suite.tables import Tables, query
 
 _THREE = Forecast("3D", "1D", missing_after="2D")
-_START, _END = "2024-01-05", "2024-01-20"
+_START, _END = "2024-01-01", "2024-01-29"
 
 _INITS = f"""i AS (SELECT unnest(generate_series(TIMESTAMP '{_START}', TIMESTAMP '{_END}' - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS init_time)"""
 _AS_RUNS = f"""{_INITS}, r AS (SELECT init_time, CAST(epoch(time) - epoch(init_time) AS BIGINT) AS lead_time, time AS valid_time, lat, lon, t2m
@@ -19,7 +19,7 @@ _AS_RUNS = f"""{_INITS}, r AS (SELECT init_time, CAST(epoch(time) - epoch(init_t
 
 
 def _series(t: Tables) -> DataFrame:
-    return t.hourly(_START, "2024-01-22").without(["n"]).frame("time", "lat", "lon")
+    return t.hourly(_START, "2024-01-31").without(["n"]).frame("time", "lat", "lon")
 
 
 @query(
@@ -45,10 +45,10 @@ def as_run(t: Tables) -> DataFrame:
     "K3_series_is_the_run",
     "hourly",
     f"""WITH {_INITS.replace(_END, '2024-02-05')} SELECT init_time,
-        coalesce((SELECT max(time) FROM hourly WHERE time < TIMESTAMP '2024-01-28') < init_time + INTERVAL 3 DAY, false) AS real FROM i""",
+        coalesce((SELECT max(time) FROM hourly WHERE time < TIMESTAMP '2024-01-31') < init_time + INTERVAL 3 DAY, false) AS real FROM i""",
 )
 def series_is_the_run(t: Tables) -> DataFrame:
-    series = t.hourly(end="2024-01-28").frame("time", "lat", "lon")
+    series = t.hourly(end="2024-01-31").frame("time", "lat", "lon")
     return forecast.series_is_the_run(series, _THREE.runs(t.spark, _START, "2024-02-05"), _THREE)
 
 

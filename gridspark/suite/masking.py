@@ -57,11 +57,11 @@ def get_sea_mask(t: Tables) -> DataFrame:
 @query(
     "D5_fraction_mask",
     "stock",
-    """SELECT lat, lon, CASE WHEN fraction < 0.96 THEN 0.0 ELSE fraction END AS fraction,
-        CASE WHEN fraction < 0.96 THEN 0.0 ELSE fraction END >= 0.5 AS mask FROM stock""",
+    """SELECT lat, lon, CASE WHEN fraction < 0.93 THEN 0.0 ELSE fraction END AS fraction,
+        CASE WHEN fraction < 0.93 THEN 0.0 ELSE fraction END >= 0.96 AS mask FROM stock""",
 )
 def fraction_mask(t: Tables) -> DataFrame:
-    cube = masks.fraction_mask(t.stock(), "fraction", "mask", 0.5, inclusive=True, tolerance=0.96)
+    cube = masks.fraction_mask(t.stock(), "fraction", "mask", 0.96, inclusive=True, tolerance=0.93)
     return cube.frame("lat", "lon").select("lat", "lon", "fraction", "mask")
 
 

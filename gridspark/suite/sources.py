@@ -206,7 +206,7 @@ def read_version(t: Tables) -> DataFrame:
     "B1_write_block",
     "hourly",
     """SELECT date_trunc('day', time) AS time, lat, lon, CAST(sum(n) AS BIGINT) AS n FROM hourly
-        WHERE time >= TIMESTAMP '2024-01-01' AND time < TIMESTAMP '2024-01-25' GROUP BY 1, 2, 3""",
+        WHERE time >= TIMESTAMP '2024-01-01' AND time < TIMESTAMP '2024-01-31' GROUP BY 1, 2, 3""",
 )
 def write_block(t: Tables) -> DataFrame:
     """Blocks of eight days, one of them written twice, then an extension."""
@@ -218,7 +218,7 @@ def write_block(t: Tables) -> DataFrame:
     run.write_blocks(days, planned[1:])
     run.publish()
     more = output.start(mode="extend")
-    more.write_blocks(days, intervals_of(blocks(t.spark, "2024-01-17", "2024-01-25", "8D")))
+    more.write_blocks(days, intervals_of(blocks(t.spark, "2024-01-17", "2024-01-31", "8D")))
     more.publish()
     return output.read().frame("time", "lat", "lon")
 
