@@ -129,6 +129,15 @@ def _restricted(cube: Cube, dim: str, axis: DataFrame, bounds: Column | None = N
     return replace(cube, frames=frames, axes={**cube.axes, dim: numbered})
 
 
+def _in_order(axis: DataFrame, column: str, wanted: Sequence[Any], values: Sequence[Column]) -> DataFrame:
+    """``axis`` with the positions that its values have in a list; labels are keys, so none comes twice."""
+    if len(set(wanted)) < len(wanted):
+        raise ValueError(f"{list(wanted)} has an entry twice")
+    if not values:
+        return axis
+    return axis.withColumn("idx", F.array_position(F.array(*values), F.col(column)).cast("int") - 1)
+
+
 def _at(cube: Cube, dim: str, label: Column) -> Cube:
     """The cube at one label of ``dim``, without the dimension."""
     frames: dict[Dims, DataFrame] = {}
@@ -156,23 +165,20 @@ def sel(cube: Cube, **kwargs: Any) -> Cube:
         if isinstance(value, Mapping):
             start, stop, every = _slice(value)
             low, high = (None if v is None else F.lit(v).cast(kind) for v in (start, stop))
-            forward = axis.agg(F.min_by(dim, "idx") <= F.max_by(dim, "idx")).scalar()
-            label = F.col(dim)
-            up = (label >= low if low is not None else F.lit(True)) & (
-                label <= high if high is not None else F.lit(True)
-            )
-            down = (label <= low if low is not None else F.lit(True)) & (
-                label >= high if high is not None else F.lit(True)
-            )
-            chosen = axis.where(F.when(forward, up).otherwise(down))
+            forward = axis.agg((F.min_by(dim, "idx") <= F.max_by(dim, "idx")).alias("up")).first()["up"]
+            if forward is False:
+                low, high = high, low
+            bounds = F.lit(True)
+            if low is not None:
+                bounds = bounds & (F.col(dim) >= low)
+            if high is not None:
+                bounds = bounds & (F.col(dim) <= high)
+            chosen = axis.where(bounds)
             if every is not None and every != 1:
                 if every < 1:
                     raise ValueError("sel: the step of a selection is positive")
                 first = chosen.agg(F.min("idx")).scalar()
                 chosen = chosen.where((F.col("idx") - first) % every == 0)
-            bounds = None
-            if low is not None and high is not None:
-                bounds = label.between(F.least(low, high), F.greatest(low, high))
             cube = _restricted(cube, dim, chosen, bounds)
         else:
             wanted = list(value) if isinstance(value, (list, tuple)) else [value]
@@ -181,7 +187,7 @@ def sel(cube: Cube, **kwargs: Any) -> Cube:
             if found.count() != len(set(wanted)):
                 raise ValueError(f"sel: not all of {wanted} are labels of {dim!r}")
             if isinstance(value, (list, tuple)):
-                cube = _restricted(cube, dim, found, F.col(dim).isin(labels))
+                cube = _restricted(cube, dim, _in_order(found, dim, wanted, labels), F.col(dim).isin(labels))
             else:
                 cube = _at(cube, dim, labels[0])
     return cube
@@ -207,7 +213,8 @@ def isel(cube: Cube, **kwargs: Any) -> Cube:
         if any(not 0 <= p < size for p in positions):
             raise ValueError(f"isel: positions {wanted} are not all within the {size} of {dim!r}")
         if isinstance(value, (list, tuple)):
-            cube = _restricted(cube, dim, axis.where(F.col("idx").isin(positions)))
+            found = axis.where(F.col("idx").isin(positions))
+            cube = _restricted(cube, dim, _in_order(found, "idx", positions, [F.lit(p) for p in positions]))
         else:
             cube = _at(cube, dim, axis.where(F.col("idx") == positions[0]).select(dim).scalar())
     return cube

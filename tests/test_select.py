@@ -27,6 +27,24 @@ def test_rename_coordinates_numbers_them_and_keeps_the_labels(ocean):
     assert {r[0] for r in given.frame_of("thetao").select("level").distinct().collect()} == {10.0, 20.0, 30.0}
 
 
+def test_lists_keep_their_order(static):
+    def order(cube):
+        return [r["lat"] for r in cube.axis("lat").orderBy("idx").collect()]
+
+    assert order(select.sel(static, lat=[0.75, -1.25, 0.25])) == [0.75, -1.25, 0.25]
+    assert order(select.isel(static, lat=[3, 1])) == [LAT[3], LAT[1]]
+    with pytest.raises(ValueError, match="twice"):
+        select.isel(static, lat=[1, 1])
+
+
+def test_open_slices_reach_the_scan(spark, tmp_path, static):
+    static.frame("lat", "lon").write.parquet(f"{tmp_path}/s")
+    stored = static.with_frame(("lat", "lon"), spark.read.parquet(f"{tmp_path}/s"))
+    chosen = select.sel(select.flip(stored, "lat"), lat={"start": 1.0}).frame("lat", "lon")
+    assert "LessThanOrEqual(lat,1.0)" in chosen._jdf.queryExecution().toString()
+    assert chosen.select("lat").distinct().count() == 6
+
+
 def test_sel_follows_the_direction_of_the_axis(static):
     down = select.flip(static, "lat")
     chosen = select.sel(down, lat={"start": 1.0, "stop": -1.0})
