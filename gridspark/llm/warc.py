@@ -1,13 +1,13 @@
 """Web archives: writing WARC records with revisits, and reading archives that may be damaged.
 
 Writing is Spark's own: a record is a string, and the two line ends that close a record are the text writer's line
-separator, so archives land wherever Spark can write. Of records with equal payloads one is the response and the others
+separator, so archives land wherever Spark can write. By default a file is one gzip member. Of records with equal payloads one is the response and the others
 revisit it.
 
 The reader takes archives as they are, plain or with a gzip member for each record. A record counts once its version
 line, its length, the closing line ends and its digests hold (a member once its checksum does). After a failed check it
 searches for the next version line or member whose record passes, goes on from there, and gives back the bytes between as
-a gap with the reason.
+a gap with the reason. Of a damaged member, the records that came out whole are kept too.
 """
 
 from __future__ import annotations
@@ -86,9 +86,10 @@ def as_records(pages: DataFrame, date: str = "1970-01-01T00:00:00Z", least_bytes
     return blocks.select(F.concat(head, "block").alias("record"))
 
 
-def write_archives(records: DataFrame, path: str) -> None:
-    """Archive files of up to ``FILE_RECORDS`` records in the folder ``path``."""
-    records.write.option("lineSep", _END.decode()).option("maxRecordsPerFile", FILE_RECORDS).text(path)
+def write_archives(records: DataFrame, path: str, compression: str = "gzip") -> None:
+    """Archive files of up to ``FILE_RECORDS`` records in the folder ``path``; each is one member, or plain (``none``)."""
+    writer = records.write.option("lineSep", _END.decode()).option("maxRecordsPerFile", FILE_RECORDS)
+    writer.option("compression", compression).text(path)
 
 
 @dataclass
@@ -190,6 +191,20 @@ def _member(data: bytes, at: int) -> tuple[list[Piece], int]:
     return [Piece(at, end - at, None, p.headers, p.block) for p in pieces], end
 
 
+def _left_in(data: bytes, at: int) -> list[Piece]:
+    """The records with a block digest that holds in what a damaged member still gives; their bytes stay in the gap."""
+    reader, parts = zlib.decompressobj(wbits=31), []
+    try:
+        for i in range(at, len(data), 1024):
+            parts.append(reader.decompress(data[i : i + 1024]))
+            if reader.eof:
+                break
+    except zlib.error:
+        pass
+    found = _plain(b"".join(parts))
+    return [Piece(at, 0, None, p.headers, p.block) for p in found if not p.problem and "warc-block-digest" in p.headers]
+
+
 def _members(data: bytes) -> Iterator[Piece]:
     at = gap = 0
     problem: str | None = None
@@ -200,6 +215,8 @@ def _members(data: bytes) -> Iterator[Piece]:
             pieces, end = _member(data, at)
         except Damaged as why:
             problem = problem or str(why)
+            if data.startswith(_MEMBER, at):
+                yield from _left_in(data, at)
             found = data.find(_MEMBER, at + 1)
             at = found if found >= 0 else len(data)
             continue

@@ -137,7 +137,7 @@ def test_archives(spark, tmp_path):
     rows = warc.pages_of(warc.read_archives(spark, str(tmp_path / "a"), blocks=False)).collect()
     got = sorted((r["page_id"] or 0, r["payload_bytes"], r["record_type"], r["refers_to"] or 0) for r in rows)
     assert got == [(0, 0, "revisit", 4), (0, 12, "response", 0), (1, 9, "revisit", 2), (2, 9, "response", 0), (2, 9, "response", 0), (3, 0, "revisit", 4), (4, 0, "response", 0)]
-    warc.write_archives(warc.as_records(df.limit(0)), str(tmp_path / "b"))
+    warc.write_archives(warc.as_records(df.limit(0)), str(tmp_path / "b"), "none")
     assert warc.pages_of(warc.read_archives(spark, str(tmp_path / "b"))).count() == 0
 
 

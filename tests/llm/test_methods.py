@@ -339,6 +339,19 @@ def test_salvage_members():
     assert _ids(warc.salvage(b"zz" + parts[1] + parts[2][:-5]))[1] == 1
 
 
+def test_salvage_inside_a_member():
+    rng = random.Random(3)
+    noise = [bytes(rng.randrange(32, 127) for _ in range(3000)) for _ in range(6)]
+    one = gzip.compress(b"".join(_record(i, n) for i, n in enumerate(noise)), mtime=0)
+    assert _ids(warc.salvage(one)) == list(range(6))
+    broken = bytearray(one + gzip.compress(_record(9, b"after")))
+    broken[len(one) * 2 // 3] ^= 255
+    pieces = list(warc.salvage(bytes(broken)))
+    ids = [i for i in _ids(pieces) if isinstance(i, int)]
+    assert ids[:3] == [0, 1, 2] and ids[-1] == 9
+    assert sum(p.length for p in pieces) == len(broken)
+
+
 def test_read_damaged_files(spark, tmp_path):
     (tmp_path / "a").write_bytes(_record(1, b"one") + b"?" + _record(2, b"two"))
     (tmp_path / "b.gz").write_bytes(gzip.compress(_record(3, b"three")))
