@@ -25,9 +25,13 @@ from gridspark.llm.shared import id_text, table
 from gridspark.llm.words import spans, span_hashes, text_bytes
 
 #: Texts from which examples are taken, in the mean at most; and every how many plain stretches one is an example.
-TRAINING_TEXTS, PLAIN_EVERY = 20_000, 20
-#: Bytes on either side of an example.
-CONTEXT = 160
+TRAINING_TEXTS, PLAIN_EVERY = 20_000, 50
+#: Examples with and without a secret that are fitted at most.
+SECRET_EXAMPLES, PLAIN_EXAMPLES = 1_500, 2_000
+#: Tokens of an example at most; one with a secret begins half as many before it.
+EXAMPLE_TOKENS = 48
+#: Half the bytes of a stretch; an example with a secret has a stretch's half on either side too.
+CONTEXT = 80
 _CHUNK = 1 << 20
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 
@@ -194,7 +198,7 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return (np.log(np.exp(x - top).sum(axis=axis, keepdims=True)) + top).squeeze(axis)
 
 
-def fit(sequences: list[tuple[np.ndarray, np.ndarray]], steps: int = 80, rate: float = 0.15, decay: float = 0.02) -> Field:
+def fit(sequences: list[tuple[np.ndarray, np.ndarray]], steps: int = 60, rate: float = 0.2, decay: float = 0.02) -> Field:
     """A field from (seen, tags) of sequences, by the gradient of the log likelihood (Adam, all sequences at once).
 
     Without sequences every weight is zero except that everything is outside.
@@ -301,8 +305,13 @@ def train(docs: DataFrame) -> Field:
     got["tags"] = [np.asarray(t) for t in got["tags"]]
     secret = got[[bool(t.any()) for t in got["tags"]]]
     plain = got[[not t.any() for t in got["tags"]]]
-    kept = [*secret.head(3_000).itertuples(index=False), *plain.head(6_000).itertuples(index=False)]
-    return fit([(np.asarray(s).reshape(-1, len(_TABLES)), t) for s, t in kept])
+    kept = [*secret.head(SECRET_EXAMPLES).itertuples(index=False), *plain.head(PLAIN_EXAMPLES).itertuples(index=False)]
+    examples = []
+    for seen, tags in kept:
+        first = max(0, int((tags > 0).argmax()) - EXAMPLE_TOKENS // 2)
+        own = slice(first, first + EXAMPLE_TOKENS)
+        examples.append((np.asarray(seen).reshape(-1, len(_TABLES))[own], tags[own]))
+    return fit(examples)
 
 
 def _points(text: bytes, places: list[int]) -> dict[int, int]:
