@@ -30,6 +30,7 @@ GRAM = 5
 SHARD_WORDS = 200_000
 #: Different segments of one anchor from which its windows are keyed one by one.
 HOT_SEGMENTS = 5_000
+SAMPLED = 16
 #: Of those anchors, so many are sent to all tasks at most (eight bytes each).
 HOT_ANCHORS = 2_000_000
 #: An anchor with more runs than ``HEAVY_RUNS``, and more than all runs by ``HEAVY_SHARE``, is dealt out when joined.
@@ -252,13 +253,18 @@ def _anchors(runs: DataFrame) -> DataFrame:
 
 
 def _hot_anchors(runs: DataFrame, shared: DataFrame) -> np.ndarray:
-    """The anchors with more than ``HOT_SEGMENTS`` different segments; the most frequent, up to ``HOT_ANCHORS``."""
+    """The anchors with more than about ``HOT_SEGMENTS`` different segments; the most frequent, up to ``HOT_ANCHORS``.
+
+    Different segments are counted among one in ``SAMPLED`` hashes: the limit says how the work is dealt out, not what is
+    found.
+    """
     often = shared.filter((F.col("n") > HOT_SEGMENTS) & F.col("differ")).orderBy(F.desc("n"), "anchor").limit(HOT_ANCHORS)
     often = written(often.select("anchor"), "often")
     if not often.limit(1).count():
         return np.zeros(0, np.int64)
-    different = runs.select("anchor", "segment").join(F.broadcast(often), "anchor").distinct().groupBy("anchor").count()
-    rows = different.filter(F.col("count") > HOT_SEGMENTS).select("anchor").collect()
+    sampled = runs.filter(F.pmod("segment", F.lit(SAMPLED)) == 0).select("anchor", "segment")
+    different = sampled.join(F.broadcast(often), "anchor", "left_semi").distinct().groupBy("anchor").count()
+    rows = different.filter(F.col("count") > HOT_SEGMENTS / SAMPLED).select("anchor").collect()
     return np.sort(np.array([r[0] for r in rows], np.int64))
 
 
