@@ -9,33 +9,33 @@ from gridspark.llm.shared import written
 
 
 def _stars(links: DataFrame, smaller: bool) -> DataFrame:
-    """Each key's neighbours (the larger ones, or the smaller ones and itself) linked to the least of all."""
+    """Each key's neighbours (the larger ones, or the smaller ones and itself) linked to the least of all.
+
+    The least neighbours are written before they are joined, so that both sides of the join are plain shuffles, of which
+    adaptive execution splits a key with very many neighbours.
+    """
     if smaller:
         near = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     else:
         near = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
         near = near.union(near.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = near.groupBy("u").agg(F.min("v").alias("m"))
-    if smaller:
-        ends = near.union(least.select("u", F.col("u").alias("v")))
-        found = ends.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    else:
-        least = least.select("u", F.least("u", "m").alias("m"))
-        found = near.filter(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return found.filter(F.col("a") != F.col("b")).distinct()
+    least = written(near.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
+    ends = near.union(least.select("u", F.col("u").alias("v"))) if smaller else near.filter(F.col("v") > F.col("u"))
+    found = ends.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    return written(found.filter(F.col("a") != F.col("b")).distinct(), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``root`` (the least key reachable) for every key in ``links`` (columns a, b).
 
     Alternating stars: neighbours are linked to the least key seen, to larger ones and then to smaller ones, until
-    nothing changes; that takes about log n rounds. A round's links are written, so that the lineage stays short. No
+    nothing changes; that takes about log n rounds. Links are written after each step, so that the lineage stays short. No
     component comes together in one place, and a key with many links is split by the skewed join.
     """
     seen = None
-    links = links.filter(F.col("a") != F.col("b")).select("a", "b")
+    links = written(links.filter(F.col("a") != F.col("b")).select("a", "b"), "links")
     while True:
-        links = written(_stars(_stars(links, smaller=False), smaller=True), "links")
+        links = _stars(_stars(links, smaller=False), smaller=True)
         state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break

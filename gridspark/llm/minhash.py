@@ -272,7 +272,7 @@ def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
         .sortWithinPartitions("task", "key")
         .mapInArrow(_confirm(words, percent), "a binary, b binary")
     )
-    roots = components(written(links, "confirmed")).withColumnRenamed("node", "key")
+    roots = components(links).withColumnRenamed("node", "key")
     joined = classes.select("key", "doc").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = joined.groupBy("root").agg(F.min("doc").alias("component_id"))
     component = joined.join(smallest, "root").select("key", "root", "component_id")
