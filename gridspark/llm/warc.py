@@ -1,18 +1,22 @@
 """Web archives: writing WARC records with revisits, and reading archives that may be damaged.
 
-Writing is Spark's own: a record is a string, and the two line ends that close a record are the text writer's line
-separator, so archives land wherever Spark can write. By default a file is one gzip member. Of records with equal payloads one is the response and the others
-revisit it.
-
-The reader takes archives as they are, plain or with a gzip member for each record. A record counts once its version
-line, its length, the closing line ends and its digests hold (a member once its checksum does). After a failed check it
-searches for the next version line or member whose record passes, goes on from there, and gives back the bytes between as
-a gap with the reason. Of a damaged member, the records that came out whole are kept too.
+Writing is Spark's own: a record is a row of the text writer, so archives land wherever Spark can write. By default each
+record is a gzip member of its own, so that damage to a file costs the records it touches. In a plain archive the two line
+ends that close a record are the writer's line separator; between members it is the zero byte that each ends with. Of
+records with equal payloads one is the response and the others revisit it.
+
+The reader takes archives as they are, plain or with gzip members of one or more records. A record counts once its version
+line, its length, the closing line ends and its digests hold. After a failed check it searches for the next version line or
+member whose record passes, goes on from there, and gives back the bytes between as a gap with the reason. The other
+records of a member with such a gap are kept, and of a member that does not decompress to its checksum those that came out
+whole; of these, a record without a SHA-1 block digest to confirm it has the header ``salvaged`` with the value
+``unverified``.
 """
 
 from __future__ import annotations
 
 import base64
+import contextlib
 import hashlib
 import re
 import uuid
@@ -29,6 +33,9 @@ from gridspark.llm.shared import shared_folder, table
 _END = b"\r\n\r\n"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _MEMBER = b"\x1f\x8b\x08"
+_NO_RECORD = zlib.compress(b"", wbits=31)
+#: Bytes given to zlib at once.
+_STEP = 4096
 #: Records in an archive file at most.
 FILE_RECORDS = 2_000
 _READ = "file string, offset long, length long, problem string, headers map<string,string>, block binary"
@@ -86,9 +93,31 @@ def as_records(pages: DataFrame, date: str = "1970-01-01T00:00:00Z", least_bytes
     return blocks.select(F.concat(head, "block").alias("record"))
 
 
+def _as_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each record as a gzip member without its last byte, which is zero.
+
+    The byte is the highest of the length. A record of 16 MiB or more is followed by a member of nothing, which ends in zero.
+    """
+    for batch in batches:
+        members: list[bytes] = []
+        held = 0
+        for record in batch.column("record"):
+            member = zlib.compress(record.as_py().encode() + _END, wbits=31)
+            members.append((member if member[-1] == 0 else member + _NO_RECORD)[:-1])
+            held += len(members[-1])
+            if held > 4 << 20:
+                yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], ["record"])
+                members, held = [], 0
+        yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], ["record"])
+
+
 def write_archives(records: DataFrame, path: str, compression: str = "gzip") -> None:
-    """Archive files of up to ``FILE_RECORDS`` records in the folder ``path``; each is one member, or plain (``none``)."""
-    writer = records.write.option("lineSep", _END.decode()).option("maxRecordsPerFile", FILE_RECORDS)
+    """Archive files of up to ``FILE_RECORDS`` records in the folder ``path``: a member for each, or plain (``none``)."""
+    end = _END.decode()
+    if compression == "gzip":
+        records = records.mapInArrow(_as_members, "record binary").select(F.col("record").cast("string"))
+        compression, end = "none", "\0"
+    writer = records.write.option("lineSep", end).option("maxRecordsPerFile", FILE_RECORDS)
     writer.option("compression", compression).text(path)
 
 
@@ -175,55 +204,75 @@ def _plain(data: bytes) -> Iterator[Piece]:
         yield Piece(gap, len(data) - gap, problem)
 
 
-def _member(data: bytes, at: int) -> tuple[list[Piece], int]:
-    """The records of the gzip member at a byte, and where it ends."""
-    reader = zlib.decompressobj(wbits=31)
-    try:
-        inside = reader.decompress(memoryview(data)[at:])
-    except zlib.error as why:
-        raise Damaged(f"member does not decompress: {why}") from None
-    if not reader.eof:
-        raise Damaged("member is cut off")
-    end = len(data) - len(reader.unused_data)
-    pieces = list(_plain(inside))
-    if not pieces or any(p.problem for p in pieces):
-        raise Damaged(next((p.problem for p in pieces if p.problem), "empty member"))
-    return [Piece(at, end - at, None, p.headers, p.block) for p in pieces], end
-
-
-def _left_in(data: bytes, at: int) -> list[Piece]:
-    """The records with a block digest that holds in what a damaged member still gives; their bytes stay in the gap."""
-    reader, parts = zlib.decompressobj(wbits=31), []
-    try:
-        for i in range(at, len(data), 1024):
-            parts.append(reader.decompress(data[i : i + 1024]))
-            if reader.eof:
-                break
-    except zlib.error:
-        pass
-    found = _plain(b"".join(parts))
-    return [Piece(at, 0, None, p.headers, p.block) for p in found if not p.problem and "warc-block-digest" in p.headers]
+def _inflated(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """What the gzip member at a byte gives, where it ends, and what is wrong with it."""
+    reader, parts, i = zlib.decompressobj(wbits=31), [], at
+    while i < len(data) and not reader.eof:
+        before = reader.copy()
+        try:
+            parts.append(reader.decompress(data[i : i + _STEP]))
+        except zlib.error as why:
+            parts.append(_until_fault(before, data[i : i + _STEP]))
+            return b"".join(parts), len(data), f"member does not decompress: {why}"
+        i += _STEP
+    end = min(i, len(data)) - len(reader.unused_data)
+    return b"".join(parts), end, None if reader.eof else "member is cut off"
+
+
+def _until_fault(reader, data: bytes) -> bytes:
+    """What bytes that do not decompress give before the fault: by input bytes, the last one by output bytes."""
+    parts = []
+    for i in range(len(data)):
+        before = reader.copy()
+        try:
+            parts.append(reader.decompress(data[i : i + 1]))
+        except zlib.error:
+            rest, out = data[i : i + 1], b""
+            with contextlib.suppress(zlib.error):
+                while rest or out:
+                    out = before.decompress(rest, 1)
+                    rest = before.unconsumed_tail
+                    parts.append(out)
+            break
+    return b"".join(parts)
+
+
+def _unverified(headers: dict[str, str]) -> dict[str, str]:
+    """The headers of a record of a damaged member, marked unless a digest of the block was compared."""
+    verified = headers.get("warc-block-digest", "").lower().startswith("sha1:")
+    return headers if verified else headers | {"salvaged": "unverified"}
 
 
 def _members(data: bytes) -> Iterator[Piece]:
     at = gap = 0
     problem: str | None = None
     while at < len(data):
-        try:
-            if not data.startswith(_MEMBER, at):
-                raise Damaged("no member")
-            pieces, end = _member(data, at)
-        except Damaged as why:
-            problem = problem or str(why)
-            if data.startswith(_MEMBER, at):
-                yield from _left_in(data, at)
+        if not data.startswith(_MEMBER, at):
+            problem = problem or "no member"
             found = data.find(_MEMBER, at + 1)
             at = found if found >= 0 else len(data)
             continue
+        inside, end, fault = _inflated(data, at)
+        pieces = list(_plain(inside))
+        whole = [p for p in pieces if not p.problem]
+        if fault:
+            problem = problem or fault
+            yield from (Piece(at, 0, None, _unverified(p.headers), p.block) for p in whole)
+            found = data.find(_MEMBER, at + 1)
+            at = found if found >= 0 else len(data)
+            continue
+        while data.startswith(_NO_RECORD, end):
+            end += len(_NO_RECORD)
+        if not pieces or len(whole) < len(pieces):
+            # The member's bytes are the gap's; the records in it are as sound as in a plain archive.
+            problem = problem or next((p.problem for p in pieces if p.problem), "empty member")
+            yield from (Piece(at, 0, None, p.headers, p.block) for p in whole)
+            at = end
+            continue
         if problem:
             yield Piece(gap, at - gap, problem)
             problem = None
-        yield from pieces
+        yield from (Piece(at, end - at, None, p.headers, p.block) for p in pieces)
         at = gap = end
     if problem:
         yield Piece(gap, len(data) - gap, problem)

@@ -4,6 +4,7 @@ import collections
 import gzip
 import math
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -352,6 +353,59 @@ def test_salvage_inside_a_member():
     assert sum(p.length for p in pieces) == len(broken)
 
 
+def _bare(page, payload):
+    """A record without digests."""
+    return b"WARC/1.0\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (page, len(payload), payload)
+
+
+def test_salvage_keeps_records_without_digests():
+    bad = _record(2, b"two").replace(b"two", b"too")
+    inside = _bare(0, b"a") + _bare(1, b"b") + bad + _bare(3, b"d")
+    data = gzip.compress(inside, mtime=0) + gzip.compress(_bare(4, b"e"), mtime=0)
+    pieces = list(warc.salvage(data))
+    assert [i for i in _ids(pieces) if isinstance(i, int)] == [0, 1, 3, 4]
+    assert [p.problem for p in pieces if p.problem] == ["block digest differs"]
+    assert sum(p.length for p in pieces) == len(data) and not any("salvaged" in (p.headers or {}) for p in pieces)
+    broken = bytearray(gzip.compress(_bare(0, b"a") + _record(1, b"b") + _bare(2, b"c" * 50_000), mtime=0))
+    broken[-6] ^= 1  # the checksum
+    pieces = [p for p in warc.salvage(bytes(broken)) if not p.problem]
+    assert [p.headers.get("salvaged") for p in pieces] == ["unverified", None, "unverified"] and _ids(pieces) == [0, 1, 2]
+
+
+def test_salvage_up_to_the_fault():
+    rng = random.Random(4)
+    noise = [bytes(rng.randrange(256) for _ in range(400)) for _ in range(9)]
+    packer = zlib.compressobj(wbits=31)
+    parts = [packer.compress(_bare(i, n)) + packer.flush(zlib.Z_FULL_FLUSH) for i, n in enumerate(noise)]
+    at = sum(map(len, parts[:7]))
+    data = b"".join(parts)[:at] + b"\xff" + b"".join(parts)[at + 1 :] + packer.flush()  # a block of no kind
+    assert [i for i in _ids(warc.salvage(data)) if isinstance(i, int)] == list(range(7))
+
+
+def test_archives_lose_the_damaged_record_only(spark, tmp_path):
+    pages = [(i, f"http://{i}", f"<p>{i}</p>" * (i % 7 + 1)) for i in range(40)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(warc.as_records(df).coalesce(1), str(tmp_path / "a"))
+    (file,) = (tmp_path / "a").glob("part-*")
+    data = bytearray(file.read_bytes())
+    pieces = list(warc.salvage(bytes(data)))
+    assert sorted(_ids(pieces)) == list(range(40)) and sum(p.length for p in pieces) == len(data)
+    assert gzip.decompress(data) == b"".join(gzip.decompress(data[p.offset : p.offset + p.length]) for p in pieces)
+    hit = pieces[11]
+    data[hit.offset + 10] = 255  # a deflate block of no kind
+    lost = set(range(40)) - set(_ids(warc.salvage(bytes(data))))
+    assert lost == {int(hit.headers["warc-record-id"][10:-1])}
+
+
+def test_archives_of_large_records(spark, tmp_path):
+    pages = [(1, "u", "a" * (17 << 20)), (2, "u", "b")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    warc.write_archives(warc.as_records(df).coalesce(1).sortWithinPartitions("record"), str(tmp_path / "a"))
+    rows = warc.read_archives(spark, str(tmp_path / "a"), blocks=False)
+    assert rows.filter("problem is not null").count() == 0
+    assert sorted((r["page_id"], r["payload_bytes"]) for r in warc.pages_of(rows).collect()) == [(1, 17 << 20), (2, 1)]
+
+
 def test_read_damaged_files(spark, tmp_path):
     (tmp_path / "a").write_bytes(_record(1, b"one") + b"?" + _record(2, b"two"))
     (tmp_path / "b.gz").write_bytes(gzip.compress(_record(3, b"three")))
