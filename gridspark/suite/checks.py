@@ -7,6 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridspark.cube import Cube
 from gridspark.functions.packing import Encoding
 from gridspark.operators import checks, masks, resample, select
 from gridspark.operators.blocks import blocks
@@ -133,6 +134,20 @@ def check_static(t: Tables) -> DataFrame:
     return checks.check_static(computed, stored, ["lat", "lon"])
 
 
+_RULES = {
+    "valid_time_coordinate": {"freq": "1D"},
+    "valid_global_coordinates": {"latitude_dim": "lat", "longitude_dim": "lon"},
+    "attributes": {},
+    "ensure_no_nans": {},
+}
+
+
+def _counted_days(hours: Cube) -> Cube:
+    """The number of hours with a value, by day."""
+    days = select.rename(resample.resample(hours.without(["n"]), "count", time="1D"), {"t2m": "n"})
+    return select.assign_var_attrs(days, n={"long_name": "number of hours", "units": "1"})
+
+
 @query(
     "J7_block_checks",
     "hourly",
@@ -146,17 +161,33 @@ def block_checks(t: Tables) -> DataFrame:
     """Daily counts in blocks of four days: each block's days, attributes and values are checked before
     it is recorded."""
     output = Output(t.spark, workspace(t.spark, "block-checks"))
-    hours = t.hourly("2024-01-03", "2024-01-15").without(["n"])
-    days = select.rename(resample.resample(hours, "count", time="1D"), {"t2m": "n"})
-    days = select.assign_var_attrs(days, n={"long_name": "number of hours", "units": "1"})
-    rules = {
-        "valid_time_coordinate": {"freq": "1D"},
-        "valid_global_coordinates": {"latitude_dim": "lat", "longitude_dim": "lon"},
-        "attributes": {},
-        "ensure_no_nans": {},
-    }
+    days = _counted_days(t.hourly("2024-01-03", "2024-01-15"))
     run = output.start()
     for start, end in intervals_of(blocks(t.spark, "2024-01-03", "2024-01-15", "4D")):
-        run.write(time_sel(days, start, end), start, end, rules)
+        run.write(time_sel(days, start, end), start, end, _RULES)
+    run.publish()
+    return output.read().frame(*HOURLY)
+
+
+@query(
+    "J7_block_checks_whole",
+    "hourly",
+    """SELECT d AS time, c.lat, c.lon, CAST(count(t2m) AS BIGINT) AS n
+        FROM (SELECT unnest(generate_series(date_trunc('day', min(ts)), date_trunc('day', max(ts)), INTERVAL 1 DAY)) AS d FROM events)
+        CROSS JOIN (SELECT CAST(-1.75 + 0.5 * i AS DOUBLE) AS lat, CAST(0.25 + 0.5 * j AS DOUBLE) AS lon
+                FROM (SELECT unnest(range(8)) AS i), (SELECT unnest(range(8)) AS j)) c
+        LEFT JOIN hourly h ON h.lat = c.lat AND h.lon = c.lon AND date_trunc('day', time) = d GROUP BY 1, 2, 3""",
+)
+def block_checks_whole(t: Tables) -> DataFrame:
+    """The daily counts from the table's first day to its last, checked and recorded in blocks of four days."""
+    days = _counted_days(t.hourly())
+    day = F.date_trunc("day", "ts").cast("date")
+    ends = t.table("events").agg(F.min(day).alias("first"), F.date_add(F.max(day), 1).alias("end")).first()
+    if ends["first"] is None:
+        return days.frame(*HOURLY)
+    output = Output(t.spark, workspace(t.spark, "block-checks"))
+    run = output.start()
+    tiles = blocks(t.spark, ends["first"].isoformat(), ends["end"].isoformat(), "4D")
+    run.write_blocks(days, intervals_of(tiles), _RULES)
     run.publish()
     return output.read().frame(*HOURLY)

@@ -158,3 +158,22 @@ def output_coverage(t: Tables) -> DataFrame:
     block = hours.where(F.dayofmonth("time").between(9, 20))
     return coverage.output_coverage(stored, block)
 
+
+@query(
+    "C16_output_coverage_whole",
+    "hourly",
+    """WITH t AS (SELECT DISTINCT time FROM hourly),
+        g AS (SELECT time, time - lag(time) OVER (ORDER BY time) AS gap FROM t),
+        a AS (SELECT min(time) AS t0, max(time) AS t1, min(gap) AS g0, max(gap) AS g1 FROM g)
+        SELECT 'time_coverage_start' AS attribute, CAST(NULL AS DOUBLE) AS number, strftime(t0, '%Y-%m-%dT%H:%M:%SZ') AS text FROM a
+        UNION ALL SELECT 'time_coverage_end', NULL, strftime(t1, '%Y-%m-%dT%H:%M:%SZ') FROM a
+        UNION ALL SELECT 'time_coverage_resolution', NULL, 'PT' || CAST(epoch(g0) / 3600 AS BIGINT) || 'H' FROM a WHERE g0 = g1""",
+)
+def output_coverage_whole(t: Tables) -> DataFrame:
+    """All stamps: the first half stored, the rest a block that overlaps it by a day."""
+    hours = t.table("events").select(F.date_trunc("hour", "ts").alias("time"))
+    seconds = F.unix_seconds(F.col("time").cast("timestamp"))
+    middle = hours.agg(((F.min(seconds) + F.max(seconds)) / 2).alias("middle"))
+    stored = hours.where(seconds <= middle.scalar())
+    block = hours.where(seconds >= middle.scalar() - 86_400)
+    return coverage.output_coverage(stored, block)
