@@ -12,6 +12,7 @@ sequence is outside; only the stretches between such tokens are decoded.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm.shared import id_text, table
+from gridspark.llm.shared import id_text, table, written
 from gridspark.llm.words import spans, span_hashes, text_bytes
 
 #: Texts from which examples are taken, in the mean at most; and every how many plain stretches one is an example.
@@ -270,11 +271,19 @@ def _tagged(starts: np.ndarray, ends: np.ndarray, values: list[tuple[int, int]])
     return tags
 
 
+def _draw(key: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "big", signed=True)
+
+
 def _example_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches around secrets, and some of the others, with what is seen at their tokens and their tags."""
+    """Stretches around secrets, and some of the others, with what is seen at their first tokens and their tags.
+
+    ``draw`` is a hash of the text, its id and the stretch's number.
+    """
     for batch in batches:
         data, bounds = text_bytes(batch.column("text"))
-        seen_rows, tag_rows = [], []
+        ids = batch.column("id").to_pylist()
+        seen_rows, tag_rows, draws, secrets = [], [], [], []
         for i, j in spans(bounds, _CHUNK):
             part, own = data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i]
             found = tokens_of(part, own)
@@ -282,35 +291,44 @@ def _example_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             for t in range(j - i):
                 tokens = slice(int(at[t]), int(at[t + 1]))
                 starts, ends = found.starts[tokens] - own[t], found.ends[tokens] - own[t]
-                values = [(v, b) for _, _, b, v in base_spans(part[own[t] : own[t + 1]].tobytes())]
+                text = part[own[t] : own[t + 1]].tobytes()
+                key = hashlib.blake2b(ids[i + t].encode() + b"\0" + text, digest_size=16).digest()
+                values = [(v, b) for _, _, b, v in base_spans(text)]
                 tags = _tagged(starts, ends, values)
                 stretch = starts // (2 * CONTEXT)
                 secret = np.unique(stretch[tags > 0])
                 for s in np.unique(stretch).tolist():
-                    if s in secret or (s + t) % PLAIN_EVERY == 0:
+                    draw = _draw(key + b"%d" % s)
+                    if s in secret or draw % PLAIN_EVERY == 0:
                         near = (starts >= (2 * s - 1) * CONTEXT) & (starts < (2 * s + 3) * CONTEXT)
                         near = near if s in secret else stretch == s
-                        seen_rows.append(found.seen[tokens][near].astype(np.int32).ravel())
-                        tag_rows.append(tags[near].astype(np.int32))
+                        cut = np.flatnonzero(near)
+                        first = max(0, int((tags[cut] > 0).argmax()) - EXAMPLE_TOKENS // 2)
+                        cut = cut[first : first + EXAMPLE_TOKENS]
+                        seen_rows.append(found.seen[tokens][cut].astype(np.int32).ravel())
+                        tag_rows.append(tags[cut].astype(np.int32))
+                        draws.append(draw)
+                        secrets.append(bool(tags[cut].any()))
         kind = pa.list_(pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(seen_rows, kind), pa.array(tag_rows, kind)], ["seen", "tags"])
+        columns = [pa.array(seen_rows, kind), pa.array(tag_rows, kind), pa.array(draws, pa.int64()), pa.array(secrets, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(columns, ["seen", "tags", "draw", "secret"])
 
 
 def train(docs: DataFrame) -> Field:
-    """A field from a sample of texts drawn by the hash of their ids, ``TRAINING_TEXTS`` in the mean at most."""
-    rows = docs.select("doc_id", "text")
+    """A field from a sample of texts drawn by the hash of their ids, ``TRAINING_TEXTS`` in the mean at most.
+
+    Of their stretches, ``SECRET_EXAMPLES`` and ``PLAIN_EXAMPLES`` at most are fitted: those of the least draws, wherever
+    they lie in the table. Only these reach the driver.
+    """
+    rows = docs.select(id_text(F.col("doc_id")).alias("id"), "text")
     share = min(1.0, TRAINING_TEXTS / max(rows.count(), 1))
-    drawn = F.pmod(F.xxhash64(id_text(F.col("doc_id"))), F.lit(1_000_000)) / F.lit(1e6)
-    got = rows.filter(drawn < share).select("text").mapInArrow(_example_rows, "seen array<int>, tags array<int>").toPandas()
-    got["tags"] = [np.asarray(t) for t in got["tags"]]
-    secret = got[[bool(t.any()) for t in got["tags"]]]
-    plain = got[[not t.any() for t in got["tags"]]]
-    kept = [*secret.head(SECRET_EXAMPLES).itertuples(index=False), *plain.head(PLAIN_EXAMPLES).itertuples(index=False)]
+    drawn = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / F.lit(1e6)
+    found = rows.filter(drawn < share).mapInArrow(_example_rows, "seen array<int>, tags array<int>, draw long, secret boolean")
+    found = written(found, "secret-examples")
     examples = []
-    for seen, tags in kept:
-        first = max(0, int((tags > 0).argmax()) - EXAMPLE_TOKENS // 2)
-        own = slice(first, first + EXAMPLE_TOKENS)
-        examples.append((np.asarray(seen).reshape(-1, len(_TABLES))[own], tags[own]))
+    for kind, most in ((F.col("secret"), SECRET_EXAMPLES), (~F.col("secret"), PLAIN_EXAMPLES)):
+        got = found.filter(kind).orderBy("draw").limit(most).select("seen", "tags").toPandas()
+        examples += [(np.asarray(seen).reshape(-1, len(_TABLES)), np.asarray(tags)) for seen, tags in got.itertuples(index=False)]
     return fit(examples)
 
 

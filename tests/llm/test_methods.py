@@ -280,6 +280,24 @@ def test_field_finds_what_patterns_miss(spark):
     assert found[1] == [] and [k for k, _ in found[2]] == ["assign", "hex"]
 
 
+def test_examples_are_drawn_from_the_whole_table(spark, monkeypatch):
+    """Ordinary text of the second half, which looks otherwise, is fitted in its share."""
+    fitted = []
+    monkeypatch.setattr(secrets, "fit", lambda examples: fitted.append(examples))
+    monkeypatch.setattr(secrets, "PLAIN_EXAMPLES", 60)
+    monkeypatch.setattr(secrets, "SECRET_EXAMPLES", 10)
+    letters = [(i, "abcd efgh " * 400 + ' token = "qwertyuiop"') for i in range(150)]
+    digits = [(i, "1234 5678 " * 400) for i in range(150, 300)]
+    kind = "doc_id long, text string"
+    secrets.train(spark.createDataFrame(letters, kind))
+    secrets.train(spark.createDataFrame(letters + digits, kind))
+    known = {tuple(row) for seen, _ in fitted[0] for row in seen.tolist()}
+    plain = [seen.tolist() for seen, tags in fitted[1] if not tags.any()]
+    other = sum(any(tuple(row) not in known for row in seen) for seen in plain)
+    assert len(plain) == 60 and 15 <= other <= 45
+    assert sum(bool(tags.any()) for _, tags in fitted[1]) == 10
+
+
 def test_best_tags_are_best():
     """Decoding only the open stretches gives the same as all sequences tried."""
     import itertools
