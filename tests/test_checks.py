@@ -2,7 +2,7 @@ import datetime
 
 import numpy as np
 import pytest
-from conftest import LAT, LON, cube_of, days, merged
+from cubes import LAT, LON, cube_of, days, merged
 from pyspark.sql import functions as F
 
 from gridspark.functions.packing import Encoding

@@ -2,7 +2,7 @@ import datetime
 
 import numpy as np
 import pytest
-from conftest import array_of, cube_of, days
+from cubes import array_of, cube_of, days
 
 from gridspark.functions.windows import window
 from gridspark.operators import climatology

@@ -2,12 +2,13 @@ import datetime
 
 import numpy as np
 import pytest
-from conftest import axis_of, cube_of, days
+from cubes import cube_of, days
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridspark.operators import forecast
 from gridspark.operators.forecast import Forecast
+from gridspark.plans.axes import axis_of
 from gridspark.sources import runs
 
 DAY = 86400

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import LAT, LON, array_of, cube_of, merged
+from cubes import LAT, LON, array_of, cube_of, merged
 from pyspark.sql import functions as F
 
 from gridspark.operators import arith, masks, vertical

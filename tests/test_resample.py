@@ -3,7 +3,7 @@ import datetime
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import array_of, cube_of, days
+from cubes import array_of, cube_of, days
 
 from gridspark.operators import resample
 from gridspark.sources import parts

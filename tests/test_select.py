@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import LAT, array_of
+from cubes import LAT, array_of
 
 from gridspark.operators import coverage, select
 from gridspark.plans.steps import process

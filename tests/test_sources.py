@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import LAT, LON, array_of, cube_of, days
+from cubes import LAT, LON, array_of, cube_of, days
 from pyspark.sql import functions as F
 
 from gridspark.cube import Cube

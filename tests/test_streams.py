@@ -1,7 +1,7 @@
 import datetime
 
 import numpy as np
-from conftest import array_of, cube_of, days
+from cubes import array_of, cube_of, days
 from pyspark.sql import functions as F
 
 from gridspark.cube import Cube

@@ -3,10 +3,9 @@
 import os
 
 import duckdb
-import numpy as np
 import pandas as pd
 import pytest
-from conftest import SF
+from cubes import SF, normal
 
 from gridspark.suite import QUERIES, SQL
 
@@ -22,20 +21,6 @@ def tables():
     return made
 
 
-def normal(df):
-    """Sorted columns and rows, values as text."""
-    out = {}
-    for name in sorted(df.columns):
-        column = df[name]
-        if pd.api.types.is_datetime64_any_dtype(column.dtype):
-            out[name] = column.astype("datetime64[us]").astype(str)
-        elif pd.api.types.is_float_dtype(column.dtype):
-            out[name] = column.map(lambda v: "NULL" if pd.isna(v) else repr(float(v) + 0.0))
-        else:
-            out[name] = column.map(lambda v: "NULL" if v is None or (isinstance(v, float) and np.isnan(v)) else str(v))
-    return pd.DataFrame(out).sort_values(sorted(out)).reset_index(drop=True)
-
-
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, tables, name):
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")

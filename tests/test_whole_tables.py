@@ -7,7 +7,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from test_suite import normal
+from cubes import normal
 
 from gridspark.suite import QUERIES, SQL
 
