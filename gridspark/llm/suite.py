@@ -1,6 +1,19 @@
 """The queries of this subpackage, and their SQL where SQL can express them."""
 
-from gridspark.llm import decontaminate, fingerprint, minhash, mixing, ppm, quality, secrets, sharding, substrings, warc
+from gridspark.llm import (
+    decontaminate,
+    fingerprint,
+    minhash,
+    mixing,
+    ppm,
+    prefix_trie,
+    quality,
+    secrets,
+    sharding,
+    spelling,
+    substrings,
+    warc,
+)
 
 QUERIES = {
     "op1_substring_dedup": substrings.op1_substring_dedup,
@@ -13,6 +26,8 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_closed_syncmers": fingerprint.op9_closed_syncmers,
     "op10_near_duplicates": minhash.op10_near_duplicates,
+    "op12_spelling_forms": spelling.op12_spelling_forms,
+    "op13_conversation_trie": prefix_trie.op13_conversation_trie,
 }
 
 SQL = {
@@ -20,4 +35,6 @@ SQL = {
     "op2_jump_shards": sharding.OP2_SQL,
     "op3_source_mix": mixing.OP3_SQL,
     "op7_warc": warc.OP7_SQL,
+    "op12_spelling_forms": spelling.OP12_SQL,
+    "op13_conversation_trie": prefix_trie.OP13_SQL,
 }
