@@ -3,6 +3,7 @@
 from gridspark.llm import (
     decontaminate,
     fingerprint,
+    jaccard,
     minhash,
     mixing,
     ppm,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_closed_syncmers": fingerprint.op9_closed_syncmers,
     "op10_near_duplicates": minhash.op10_near_duplicates,
+    "op11_jaccard_join": jaccard.op11_jaccard_join,
     "op12_spelling_forms": spelling.op12_spelling_forms,
     "op13_conversation_trie": prefix_trie.op13_conversation_trie,
 }
@@ -35,6 +37,7 @@ SQL = {
     "op2_jump_shards": sharding.OP2_SQL,
     "op3_source_mix": mixing.OP3_SQL,
     "op7_warc": warc.OP7_SQL,
+    "op11_jaccard_join": jaccard.OP11_SQL,
     "op12_spelling_forms": spelling.OP12_SQL,
     "op13_conversation_trie": prefix_trie.OP13_SQL,
 }
