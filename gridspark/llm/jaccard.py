@@ -7,9 +7,11 @@ each has one of the other's among its first few in any order that all share. Rar
 table of fixed size, so that what very many texts share hardly ever brings two together. The boundary is where subsets of all
 light sets and list entries of all heavy ones cost least, by the sizes of all sets.
 
-Sets that meet in a list, directly or through others, are a family. A family comes to one task, which compares whole sets; in one
-beyond ``FAMILY_MEMBERS`` a few pivots are compared with all in parts, and then the sets outside the pivots' largest component
-with all. Of two linked sets one is compared with the other, or both are in one component. Pairs are never written out.
+Sets that meet in a list, directly or through others, are a family, which comes to one task that compares whole sets. Passages that a
+few long texts share can chain many into one family. One beyond ``FAMILY_MEMBERS`` is narrowed: its sets are cut into one part more
+than linked ones may differ in, and meet again where a whole part is equal. What is still as large are near copies: a few pivots
+are compared with all in blocks, and then the sets outside the pivots' largest component with all. Of two linked sets one is
+compared with the other, or both are in one component. Pairs are never written out.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from gridspark.llm.shared import table, written
 from gridspark.llm.words import mixed
 
 #: Counters of members, in the table by which rare ones are told; 2 to this power.
-COUNTER_BITS = 20
+COUNTER_BITS = 18
 _COUNTER_PARTS = 64
 #: Light sets have up to this many members, wherever the cost is least.
 MOST_LIGHT = 64
@@ -213,14 +215,14 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows([first[1], None], [None, last[1]], [part, part], [first[0], last[0]])
 
 
-def _candidates(classes: DataFrame) -> DataFrame:
-    """(a, b): enough links between sets of each list to connect them.
+def _candidates(lists: DataFrame) -> DataFrame:
+    """(a, b): enough links between sets of each list to connect them, for rows (key, lists).
 
     Lists are sorted over all tasks, so that one of very many sets lies in several parts; where a list goes on in the next part,
     the rows at the seam are linked, of which there are two a part.
     """
-    partitions = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = classes.select(F.explode("lists").alias("list"), "key")
+    partitions = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = lists.select(F.explode("lists").alias("list"), "key")
     dealt = rows.repartitionByRange(partitions, "list", "key").sortWithinPartitions("list", "key")
     found = written(dealt.mapInArrow(_neighbours, "a binary, b binary, part int, end long"), "neighbours")
     ends = found.filter("part IS NOT NULL").groupBy("part").agg(
@@ -319,54 +321,121 @@ def _compared(k: int, percent: int):
     return compare
 
 
-def _links_of_tasks(tasks: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links found in ``tasks`` (task, asks, doc, t1, t2, key)."""
+def _links_of_tasks(tasks: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links found in ``tasks`` (task, asks, key, text)."""
     partitions = int(tasks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    same = tasks["doc"].eqNullSafe(texts["doc_id"]) & (tasks["t1"] == texts["t1"]) & (tasks["t2"] == texts["t2"])
-    dealt = tasks.join(texts, same).select("task", "asks", "key", "text")
-    dealt = dealt.repartition(partitions, "task").sortWithinPartitions("task", F.desc("asks"), "key")
+    dealt = tasks.select("task", "asks", "key", "text").repartition(partitions, "task")
+    dealt = dealt.sortWithinPartitions("task", F.desc("asks"), "key")
     return written(dealt.mapInArrow(_compared(words, percent), "a binary, b binary"), "links")
 
 
-def _heavy_links(classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b) of sets of which one is heavy at least."""
-    families = components(_candidates(classes)).withColumnRenamed("node", "key").withColumnRenamed("root", "family")
-    families = written(families.join(classes.select("key", "n_shingles", "doc", "t1", "t2"), "key"), "families")
-    costs = families.groupBy("family").agg(F.sum("n_shingles").alias("cost"))
-    large = written(
-        costs.filter(F.col("cost") > FAMILY_MEMBERS).withColumn("parts", F.ceil(F.col("cost") / (FAMILY_MEMBERS // 2)).cast("int")), "large"
-    )
-    row = ["task", "asks", "key", "doc", "t1", "t2"]
-    small = families.join(large, "family", "left_anti")
-    links = _links_of_tasks(small.withColumn("task", F.hex("family")).withColumn("asks", F.lit(0)).select(row), texts, words, percent)
-    if not large.limit(1).count():
-        return links
+def size_class(size: int, percent: int) -> tuple[int, int]:
+    """The class of a set's size, and the largest size in the class after the next. Sizes of linked sets lie at most a class apart."""
+    at, low = 0, 1
+    while True:
+        next_low = max(low + 1, low * 100 // percent + 1)
+        if size < next_low:
+            return at, max(next_low + 1, next_low * 100 // percent + 1) - 1
+        at, low = at + 1, next_low
+
+
+def part_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of a set's parts, of which linked sets have one in common.
+
+    Members are dealt by their hashes to one part more than two linked sets of these size classes differ in, so that one part has
+    the same members in both, or none. A set takes part as the smaller and as the larger of a pair.
+    """
+    n, out = len(shingles), []
+    own, top = size_class(n, percent)
+    lower = max((s for s in range(max(1, n * percent // 100 - 2), n) if size_class(s, percent)[0] == own - 1), default=None)
+    for number, most in ((own, top), (own - 1, None if lower is None else size_class(lower, percent)[1])):
+        if most is None:
+            continue
+        parts = (100 - percent) * 2 * most // (100 + percent) + 1
+        at = (mixed(shingles, 21) % np.uint64(parts)).astype(np.int64)
+        sums = np.zeros(parts, np.uint64)
+        np.add.at(sums, at, mixed(shingles, 22))
+        salted = np.arange(parts, dtype=np.uint64) + (np.uint64(number) << np.uint64(40))
+        out.append(mixed(sums + mixed(salted, 23), 24))
+    return np.concatenate(out)
 
-    inside = families.join(large.drop("cost"), "family")
-    part = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    inside = written(inside.withColumn("part", part), "inside")
+
+def _parted(k: int, percent: int):
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, sets in shingle_sets(batch.column("text"), k):
+                keys = [part_keys(s, percent).view(np.int64) for s in sets]
+                lists = pa.array(keys, pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column("key").slice(at, len(sets)), lists], ["key", "lists"])
+
+    return part
+
+
+def _with_families(held: DataFrame, lists: DataFrame, classes: DataFrame) -> DataFrame:
+    """``held`` with ``family`` and its ``cost``: sets that meet in ``lists`` (key, lists). Sets that meet none are left out."""
+    found = components(_candidates(lists)).select(F.col("node").alias("key"), F.col("root").alias("family"))
+    found = written(found.join(classes.select("key", "n_shingles"), "key"), "families")
+    costs = found.groupBy("family").agg(F.sum("n_shingles").alias("cost"))
+    return held.join(found.join(costs, "family"), "key")
+
+
+def _heavy_links(classes: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b) of sets of which one is heavy at least.
+
+    Texts of the sets that meet in lists are fetched once. In families too large for a task, sets are dealt to narrower ones by
+    their parts; what is still too large is compared with pivots first.
+    """
+    wanted = classes.select("key", "doc", F.col("t1").alias("u1"), F.col("t2").alias("u2"))
+    met = _with_families(wanted, classes.select("key", "lists"), classes)
+    same = F.col("doc").eqNullSafe(F.col("doc_id")) & (F.col("u1") == F.col("t1")) & (F.col("u2") == F.col("t2"))
+    held = written(met.join(rows, same).select("family", "cost", "n_shingles", "key", "text"), "held")
+    small, large = F.col("cost") <= FAMILY_MEMBERS, F.col("cost") > FAMILY_MEMBERS
+    task = F.hex("family")
+    links = _links_of_tasks(held.filter(small).withColumn("task", task).withColumn("asks", F.lit(0)), words, percent)
+    if not held.filter(large).limit(1).count():
+        return links
+    texts = held.filter(large).select("key", "text")
+    parts = written(texts.mapInArrow(_parted(words, percent), "key binary, lists array<long>"), "parts")
+    narrow = written(_with_families(texts, parts, classes), "narrow")
+    found = _links_of_tasks(narrow.filter(small).withColumn("task", task).withColumn("asks", F.lit(0)), words, percent)
+    links = links.union(found)
+    if narrow.filter(large).limit(1).count():
+        links = links.union(_links_by_pivots(narrow.filter(large), words, percent))
+    return links
+
+
+def _links_by_pivots(held: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b) in families (family, cost, n_shingles, key, text) in parts: of pivots with all, then of what they leave with all."""
+    size = FAMILY_MEMBERS // 2
+    parts = F.ceil(F.col("cost") / size).cast("int")
+    part = F.pmod(F.xxhash64("key"), parts).cast("int")
+    every = F.explode(F.sequence(F.lit(0), parts - 1))
     first = [F.min(F.struct(F.xxhash64(F.lit(i), "key").alias("draw"), "key")).alias(f"p{i}") for i in range(PIVOTS)]
-    pivots = inside.groupBy("family").agg(*first).select(F.explode(F.array(*[F.col(f"p{i}.key") for i in range(PIVOTS)])).alias("key")).distinct()
-    asking = inside.join(pivots, "key", "left_semi").withColumn("part", every).withColumn("asks", F.lit(1))
-    all_parts = inside.withColumn("asks", F.lit(0))
-    named = F.concat_ws("-", F.hex("family"), "part")
-    tasks = asking.unionByName(all_parts).withColumn("task", named).select(row)
-    near = _links_of_tasks(tasks, texts, words, percent)
-
-    found = components(near).withColumnRenamed("node", "key")
-    found = written(inside.join(found, "key", "left").withColumn("root", F.coalesce("root", "key")), "parted")
-    counts = found.groupBy("family", "root").agg(F.count(F.lit(1)).alias("sets"), F.sum("n_shingles").alias("cost"))
+    keys = F.array(*[F.col(f"p{i}.key") for i in range(PIVOTS)])
+    pivots = held.groupBy("family").agg(*first).select(F.explode(keys).alias("key")).distinct()
+    columns = ["family", "part", "asks", "key", "text"]
+    asking = held.join(pivots, "key", "left_semi").withColumn("part", every).withColumn("asks", F.lit(1))
+    others = held.withColumn("part", part).withColumn("asks", F.lit(0))
+    tasks = asking.select(columns).unionByName(others.select(columns))
+    near = _links_of_tasks(tasks.withColumn("task", F.concat_ws("-", F.hex("family"), "part")), words, percent)
+
+    sets = held.select("family", "cost", "key", "n_shingles").distinct()
+    found = sets.join(components(near).withColumnRenamed("node", "key"), "key", "left")
+    found = written(found.withColumn("root", F.coalesce("root", "key")), "parted")
+    counts = found.groupBy("family", "root").agg(F.count(F.lit(1)).alias("sets"))
     main = counts.groupBy("family").agg(F.max_by("root", F.struct("sets", "root")).alias("main"))
-    rest = found.join(main, "family").filter(F.col("root") != F.col("main")).drop("main", "root")
-    groups = rest.groupBy("family").agg(F.ceil(F.sum("n_shingles") / (FAMILY_MEMBERS // 2)).cast("int").alias("groups"))
-    rest = rest.join(groups, "family").withColumn("group", F.pmod(F.xxhash64(F.lit("rest"), "key"), F.col("groups")).cast("int"))
-    asking = rest.drop("groups").withColumn("part", every).withColumn("asks", F.lit(1))
+    rest = found.join(main, "family").filter(F.col("root") != F.col("main")).select("family", "key", "n_shingles")
+    groups = rest.groupBy("family").agg(F.ceil(F.sum("n_shingles") / size).cast("int").alias("groups"))
+    groups = written(groups, "groups")
+    group = F.pmod(F.xxhash64(F.lit("rest"), "key"), F.col("groups")).cast("int")
+    columns = ["family", "part", "group", "asks", "key", "text"]
+    asking = held.join(rest.select("key"), "key", "left_semi").join(groups, "family").withColumn("group", group)
+    asking = asking.withColumn("part", every).withColumn("asks", F.lit(1))
     turns = F.explode(F.sequence(F.lit(0), F.col("groups") - 1))
-    all_parts = inside.join(groups, "family").withColumn("group", turns).drop("groups").withColumn("asks", F.lit(0))
+    others = held.join(groups, "family").withColumn("group", turns).withColumn("part", part).withColumn("asks", F.lit(0))
+    tasks = asking.select(columns).unionByName(others.select(columns))
     named = F.concat_ws("-", F.hex("family"), "part", "group")
-    tasks = asking.unionByName(all_parts).withColumn("task", named).select(row)
-    return links.union(near).union(_links_of_tasks(tasks, texts, words, percent))
+    return near.union(_links_of_tasks(tasks.withColumn("task", named), words, percent))
 
 
 def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90, light: int | None = None) -> DataFrame:

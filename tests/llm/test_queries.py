@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the tables are no
 @pytest.fixture(scope="module")
 def tables():
     made = duckdb.connect()
-    for name in ("documents", "pages", "labels", "benchmark"):
+    for name in ("documents", "pages", "labels", "benchmark", "conversations"):
         made.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF}/{name}.parquet')")
     return made
 
@@ -28,7 +28,7 @@ def tables():
 def test_query_and_sql(spark, tables, name):
     ours, theirs = QUERIES[name](spark, SF).toPandas(), tables.sql(SQL[name]).df()
     assert sorted(ours.columns) == sorted(theirs.columns)
-    keys = [c for c in ("doc_id", "page_id") if c in ours]
+    keys = [c for c in ("doc_id", "page_id", "word", "conv_id", "depth") if c in ours]
     ours, theirs = (d[ours.columns].sort_values(keys).reset_index(drop=True) for d in (ours, theirs))
     pd.testing.assert_frame_equal(ours, theirs, check_dtype=False)
 
@@ -66,4 +66,4 @@ def test_pipeline(spark, tables):
 
 
 def test_all_operators_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
