@@ -1,7 +1,7 @@
 """Near duplicates by b-bit MinHash: band candidates, similarity estimated from packed low bits, links confirmed.
 
-Each text has 96 minima over its distinct word shingles. Bands of four minima give the candidates: a pair of similarity
-0.8 shares none with a chance of 3e-6, one of 0.85 with 8e-8. Of every minimum the lower four bits are packed; two signatures
+Each text has 96 minima over its distinct word shingles. Bands of minima give the candidates: of four each from a similarity
+of 0.79 on (a pair of 0.8 shares none with a chance of 3e-6, one of 0.85 with 8e-8), of fewer below. Of every minimum the lower four bits are packed; two signatures
 agree by chance in a sixteenth of the places, for which the estimate is corrected. Only a pair estimated far below the
 threshold (by more than five standard deviations) is left without a look at its full sets; every link is confirmed on
 them.
@@ -14,30 +14,33 @@ its component; pairs are never written out.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark.llm.components import components
 from gridspark.llm.shared import WORD, table, written
 from gridspark.llm.words import chunks, mixed, run_hashes, word_hashes
 
-ROWS, BANDS, BITS = 4, 24, 4
-MINIMA = ROWS * BANDS
+MINIMA, BITS = 96, 4
+#: How likely a pair at the threshold may be to share no band.
+MISSED = 1e-5
 #: Shingles whose texts may come to one task.
 FAMILY_SHINGLES = 1_000_000
-#: Places that must agree, of 96, before full sets are compared. At similarity 0.8, 78 agree in the mean, with a
-#: standard deviation of 3.8.
-AGREEING = 58
+#: A set counts as this many shingles at least when work is dealt out, since a task compares sets with each other.
+SET_SHINGLES = 200
 
 _RANDOM = np.random.default_rng(7)
 _FACTORS = _RANDOM.integers(1, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _RANDOM.integers(1, 1 << 63, MINIMA, dtype=np.uint64)
 
-_SIGNED = "doc_id long, tag long, n_shingles long, key binary, bands array<long>, packed binary"
+_SIGNED = "doc_id long, tag long, more long, n_shingles long, key binary, bands array<long>, packed binary"
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -75,14 +78,23 @@ def _packed(minima: np.ndarray) -> np.ndarray:
     return (low[:, 0::2] << 4) | low[:, 1::2]
 
 
-def _band_keys(minima: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(minima), BANDS), np.uint64)
-    for r in range(ROWS):
-        out = mixed(out + minima[:, r::ROWS].astype(np.uint64), 11 + r)
-    return mixed(out + np.arange(BANDS, dtype=np.uint64)[None, :], 5).view(np.int64)
+def rows_of_band(percent: int) -> int:
+    """As many minima to a band as leave a pair at the threshold without a common band with a chance of ``MISSED`` at most."""
+    for rows in (4, 3, 2, 1):
+        if (1 - (percent / 100) ** rows) ** (MINIMA // rows) <= MISSED:
+            return rows
+    raise ValueError(f"{MINIMA} minima are too few for a similarity of {percent} in a hundred")
 
 
-def _signatures(k: int):
+def _band_keys(minima: np.ndarray, rows: int) -> np.ndarray:
+    bands = MINIMA // rows
+    out = np.zeros((len(minima), bands), np.uint64)
+    for r in range(rows):
+        out = mixed(out + minima[:, r::rows].astype(np.uint64), 11 + r)
+    return mixed(out + np.arange(bands, dtype=np.uint64)[None, :], 5).view(np.int64)
+
+
+def _signatures(k: int, rows: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, sets in shingle_sets(batch.column("text"), k):
@@ -90,18 +102,19 @@ def _signatures(k: int):
                 bands, packed = [None] * len(sets), [None] * len(sets)
                 if full:
                     minima = _minima([sets[i] for i in full])
-                    for i, keys, low in zip(full, _band_keys(minima), _packed(minima), strict=True):
+                    for i, keys, low in zip(full, _band_keys(minima, rows), _packed(minima), strict=True):
                         bands[i], packed[i] = keys, low.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(at, len(sets)),
                         batch.column("tag").slice(at, len(sets)),
+                        batch.column("more").slice(at, len(sets)),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
                         pa.array(packed, pa.binary()),
                     ],
-                    ["doc_id", "tag", "n_shingles", "key", "bands", "packed"],
+                    ["doc_id", "tag", "more", "n_shingles", "key", "bands", "packed"],
                 )
 
     return sign
@@ -121,6 +134,14 @@ def estimate(agree: np.ndarray) -> np.ndarray:
     return np.maximum(0.0, (agree / MINIMA - chance) / (1 - chance))
 
 
+def least_agreeing(percent: int) -> int:
+    """In how many places two signatures agree at least if the sets may be linked: what is expected at the threshold, which
+    :func:`estimate` takes back to the similarity, less five standard deviations."""
+    chance = 0.5**BITS
+    each = chance + (1 - chance) * percent / 100
+    return max(0, math.floor(MINIMA * each - 5 * math.sqrt(MINIMA * each * (1 - each))))
+
+
 def linked_roots(sets: list[np.ndarray], packed: np.ndarray, percent: int) -> list[int]:
     """For each set, the root of its component among the given sets.
 
@@ -140,12 +161,17 @@ def linked_roots(sets: list[np.ndarray], packed: np.ndarray, percent: int) -> li
     flat = np.concatenate(sets)
     at = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     places = None
-    degree = np.array([(agreeing(packed[i], packed) >= AGREEING).sum() for i in range(n)])
+    least = estimate(np.array(least_agreeing(percent)))
+
+    def candidates(i: int) -> np.ndarray:
+        return estimate(agreeing(packed[i], packed)) >= least
+
+    degree = np.array([candidates(i).sum() for i in range(n)])
     order = np.argsort(-degree, kind="stable").tolist()
     for turn, i in enumerate(order):
         if degree[i] < 2 or turn >= 8 and find(i) == find(order[0]):
             continue
-        near = np.flatnonzero(agreeing(packed[i], packed) >= AGREEING)
+        near = np.flatnonzero(candidates(i))
         low, high = np.minimum(sizes[near], sizes[i]), np.maximum(sizes[near], sizes[i])
         near = near[100 * low >= percent * high]
         root = find(i)
@@ -218,16 +244,20 @@ def _confirm(k: int, percent: int):
     return confirm
 
 
+def _cost() -> Column:
+    return F.greatest(F.col("n_shingles"), F.lit(SET_SHINGLES))
+
+
 def _tasks(classes: DataFrame) -> DataFrame:
-    """(task, key, doc, packed) for all classes that have candidates."""
+    """(task, key, packed, doc_id, tag, more) for all classes that have candidates."""
     members = written(classes.select("key", "n_shingles", F.explode("bands").alias("bucket")), "members")
     least = members.groupBy("bucket").agg(F.min("key").alias("least"), F.max("key").alias("most"))
     least = least.filter(F.col("least") < F.col("most")).drop("most")
     edges = members.join(least, "bucket").select(F.col("key").alias("a"), F.col("least").alias("b")).distinct()
     families = written(components(edges), "families")
-    sized = families.join(classes.select(F.col("key").alias("node"), "n_shingles"), "node")
+    sized = families.join(classes.select(F.col("key").alias("node"), _cost().alias("cost")), "node")
     large = written(
-        sized.groupBy("root").agg(F.sum("n_shingles").alias("cost")).filter(F.col("cost") > FAMILY_SHINGLES), "large"
+        sized.groupBy("root").agg(F.sum("cost").alias("cost")).filter(F.col("cost") > FAMILY_SHINGLES), "large"
     )
     small = families.join(large, "root", "left_anti").select(F.col("node").alias("key"), F.hex("root").alias("task"))
     tasks = small
@@ -235,7 +265,7 @@ def _tasks(classes: DataFrame) -> DataFrame:
         inside = families.join(large, "root", "left_semi").select(F.col("node").alias("key"))
         inside = members.join(inside, "key", "left_semi").join(least.select("bucket"), "bucket", "left_semi")
         blocks = inside.groupBy("bucket").agg(
-            F.ceil(F.sum("n_shingles") / F.lit(FAMILY_SHINGLES // 2)).cast("int").alias("blocks")
+            F.ceil(F.sum(_cost()) / F.lit(FAMILY_SHINGLES // 2)).cast("int").alias("blocks")
         )
         dealt = (
             inside.join(blocks, "bucket")
@@ -244,18 +274,20 @@ def _tasks(classes: DataFrame) -> DataFrame:
         )
         pair = F.concat_ws("-", F.col("bucket"), F.least("own", "other"), F.greatest("own", "other"))
         tasks = small.union(dealt.select("key", pair.alias("task")))
-    return tasks.join(classes.select("key", "doc", "packed"), "key")
+    return tasks.join(classes.select("key", "packed", "one.doc_id", "one.tag", "one.more"), "key")
 
 
 def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(doc_id, tag, n_shingles, root, component_id) for every row; root and component_id are null without shingles."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tag"), "text")
-    signed = written(rows.mapInArrow(_signatures(words), _SIGNED), "signed")
+    more = F.xxhash64(F.lit("more"), F.col("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tag"), more.alias("more"), "text")
+    signed = written(rows.mapInArrow(_signatures(words, rows_of_band(percent)), _SIGNED), "signed")
     classes = written(
         signed.filter("n_shingles > 0")
         .groupBy("key")
         .agg(
             F.min("doc_id").alias("doc"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag", "more")).alias("one"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("bands").alias("bands"),
             F.first("packed").alias("packed"),
@@ -263,10 +295,10 @@ def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
         "classes",
     )
     tasks = _tasks(classes)
-    texts = rows.select(F.col("doc_id").alias("doc"), "text")
+    same = reduce(and_, [tasks[c].eqNullSafe(rows[c]) for c in ("doc_id", "tag", "more")])
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     links = (
-        tasks.join(texts, tasks["doc"].eqNullSafe(texts["doc"]))
+        tasks.join(rows, same)
         .select("task", "key", "packed", "text")
         .repartition(partitions, "task")
         .sortWithinPartitions("task", "key")

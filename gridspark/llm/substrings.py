@@ -38,7 +38,9 @@ HEAVY_RUNS, HEAVY_SHARE = 20_000, 100_000
 #: Stands for a null id, which comes after all others.
 _NO_ID = (1 << 63) - 1
 
-_RUNS = "anchor long, segment long, doc long, tag int, at int, size int"
+_RUNS = "anchor long, segment long, doc long, tag long, more int, at int, size int"
+#: What names a row: its id, and 96 bits of its text for rows that share one.
+_ROW = ["doc", "tag", "more"]
 
 
 def _least_places(values: np.ndarray, span: int) -> np.ndarray:
@@ -90,10 +92,11 @@ def _run_batch(batch: pa.RecordBatch, chunk: Chunk, anchor, segment, start, size
             pa.array(segment),
             batch.column("doc").take(rows),
             batch.column("tag").take(rows),
+            batch.column("more").take(rows),
             pa.array((start - chunk.first[of]).astype(np.int32)),
             pa.array(size.astype(np.int32)),
         ],
-        ["anchor", "segment", "doc", "tag", "at", "size"],
+        ["anchor", "segment", *_ROW, "at", "size"],
     )
 
 
@@ -232,7 +235,8 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"),
-        F.hash("text").alias("tag"),
+        F.xxhash64("text").alias("tag"),
+        F.hash("text").alias("more"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
 
@@ -281,9 +285,9 @@ def _of_shared(runs: DataFrame, shared: DataFrame, total: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
-    """(doc, tag, spans) for the texts in which windows start that also start in a document with a smaller id: the word
-    ranges ``from`` - ``to`` that those windows cover, which may overlap. A null id is after all others; ``tag`` is the
-    text's hash and tells rows with equal ids apart."""
+    """(doc, tag, more, spans) for the texts in which windows start that also start in a document with a smaller id: the word
+    ranges ``from`` - ``to`` that those windows cover, which may overlap. A null id is after all others; ``tag``
+    and ``more`` are hashes of the text and tell rows with equal ids apart."""
     if not GRAM < window <= 64:
         raise ValueError(f"a window has {GRAM + 1} to 64 words")
     texts = _texts(docs)
@@ -298,10 +302,11 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
     shards = max(1, total * (window + 20) // SHARD_WORDS)
     wanted = (
         runs.groupBy("anchor", "segment")
-        .agg(F.min(F.struct("doc", "tag", "at", "size")).alias("one"), F.max("doc").alias("most"))
+        .agg(F.min(F.struct(*_ROW, "at", "size")).alias("one"), F.max("doc").alias("most"))
         .select(
             F.col("one.doc").alias("doc"),
             F.col("one.tag").alias("tag"),
+            F.col("one.more").alias("more"),
             F.struct(
                 F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int").alias("shard"),
                 "anchor",
@@ -313,9 +318,9 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
             ).alias("s"),
         )
     )
-    wanted = wanted.groupBy("doc", "tag").agg(F.collect_list("s").alias("segments"))
+    wanted = wanted.groupBy(*_ROW).agg(F.collect_list("s").alias("segments"))
     kind = "shard int, anchor long, segment long, least long, most long, words binary"
-    segments = texts.join(wanted, ["doc", "tag"]).select("text", "segments").mapInArrow(_cut, kind)
+    segments = texts.join(wanted, _ROW).select("text", "segments").mapInArrow(_cut, kind)
     partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     reported = (
         segments.repartition(partitions, "shard")
@@ -332,9 +337,9 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
         ),
     )
     return (
-        found.select("doc", "tag", spans.alias("spans"))
+        found.select(*_ROW, spans.alias("spans"))
         .filter(F.size("spans") > 0)
-        .groupBy("doc", "tag")
+        .groupBy(*_ROW)
         .agg(F.flatten(F.collect_list("spans")).alias("spans"))
     )
 
@@ -349,7 +354,7 @@ def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     each other; repeated rows get equal results.
     """
     texts = _texts(docs)
-    joined = texts.join(repeated_spans(docs, window), ["doc", "tag"], "left").select("doc", "text", "spans")
+    joined = texts.join(repeated_spans(docs, window), _ROW, "left").select("doc", "text", "spans")
     out = joined.mapInArrow(_kept, "doc long, n_words long, n_removed long, kept string")
     return out.select(F.when(F.col("doc") != _NO_ID, F.col("doc")).alias("doc_id"), "n_words", "n_removed", "kept")
 

@@ -199,6 +199,7 @@ def turns():
     rows = [(c, t, rng.choice(["user", "assistant"]), f"turn {rng.randrange(2)}") for c in range(-3, 60) for t in range(rng.randrange(1, 12))]
     rows += [(90 + c, t, "user", f"same {t}" if t < 37 + c else f"other {t}") for c in range(3) for t in range(40)]
     rows += [(5, None, None, None), (5, 2, "user", "again  and again"), (5, 2, "user", "again  and again"), (None, 1, "user", "lost"), (101, 0, None, "")]
+    rows += [(1000 + c, 0, "user", "lent by nobody") for c in range(1, 12)]  # some have no turns when rebuilt
     rng.shuffle(rows)
     return rows
 

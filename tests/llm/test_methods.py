@@ -430,3 +430,55 @@ def test_read_damaged_files(spark, tmp_path):
     rows = warc.read_archives(spark, str(tmp_path)).collect()
     assert sorted(len(r["block"]) for r in rows if r["problem"] is None) == [41, 41, 43]
     assert [(r["offset"], r["length"]) for r in rows if r["problem"]] == [(len(_record(1, b"one")), 1)]
+
+
+def test_repeats_of_rows_without_an_id(spark):
+    """Two texts of different lengths whose 32 bit hashes are equal, and a passage of each in a row with an id."""
+    seen, pair = {}, None
+    for n in range(0, 400_000, 20_000):
+        df = spark.range(n, n + 20_000).selectExpr("id", "repeat(concat('w', id, ' '), 60 + cast(id % 50 as int)) AS text")
+        for r in df.selectExpr("id", "hash(text) AS h", "text").toPandas().itertuples():
+            if r.h in seen and len(seen[r.h].split()) != len(r.text.split()):
+                pair = seen[r.h], r.text
+            seen[r.h] = r.text
+        if pair:
+            break
+    rows = [(1, pair[0]), (2, pair[1]), (None, pair[0]), (None, pair[1] + "end")] + [(None, t) for t in pair]
+    got = substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(None, len(t.split()), len(t.split())) for t in pair] * 2
+    want[1] = (None, len(pair[1].split()) + 1, len(pair[1].split()))
+    want += [(i + 1, len(t.split()), 0) for i, t in enumerate(pair)]
+    assert sorted((str(r[0]), r[1], r[2]) for r in got) == sorted((str(a), b, c) for a, b, c in want)
+
+
+def test_near_duplicates_without_ids(spark):
+    """5,000 rows without an id, every two of them near duplicates: time in proportion to rows."""
+    rng = random.Random(5)
+    rows = []
+    for _ in range(2500):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        rows += [(None, " ".join(words)), (None, " ".join([*words, "more"]))]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 5000 and all(r["component_id"] is None and r["kept"] for r in got)
+    assert minhash.representatives(spark.createDataFrame(rows, "doc_id long, text string")).count() == 2500
+
+
+@pytest.mark.parametrize("percent", [60, 50])
+def test_near_duplicates_at_low_thresholds(spark, percent):
+    rng = random.Random(percent)
+    rows = []
+    for n in range(60):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+        rows.append((2 * n, " ".join(words)))
+        rows.append((2 * n + 1, " ".join(words[: rng.randrange(20, 80)] + [f"x{n}"])))
+    sets = [frozenset(zip(*(t.split()[i:] for i in range(5)), strict=False)) for _, t in rows]
+    want = {2 * n + 1: 2 * n if 100 * len(a & b) >= percent * len(a | b) else 2 * n + 1 for n, (a, b) in enumerate(zip(sets[::2], sets[1::2], strict=True))}
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=percent).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] % 2} == want and len(set(want.values()) & set(want)) not in (0, 60)
+
+
+def test_bands_and_places_follow_the_threshold():
+    assert [minhash.rows_of_band(p) for p in (85, 80, 60, 50, 30)] == [4, 4, 2, 2, 1]
+    assert minhash.least_agreeing(80) == 58 < minhash.least_agreeing(85) and minhash.least_agreeing(50) < 40
+    with pytest.raises(ValueError):
+        minhash.rows_of_band(5)
