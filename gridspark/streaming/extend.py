@@ -6,19 +6,20 @@ import datetime
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from gridspark.cube import Cube
 from gridspark.functions.times import seconds
 from gridspark.operators.blocks import assign_block, blocks
-from gridspark.plans.sizing import local_copy
 from gridspark.plans.steps import process
 from gridspark.sources.layout import Layout
 from gridspark.sources.store import Output, intervals_of
 
 _FAR = "9999-01-01"  # no end
+_LEDGER = "block bigint, rows bigint, latest timestamp, batch int"
 
 
 def consecutive(intervals: Sequence[tuple]) -> list[list[tuple]]:
@@ -32,6 +33,34 @@ def consecutive(intervals: Sequence[tuple]) -> list[list[tuple]]:
     return out
 
 
+def dirty_blocks(spark: SparkSession, ledger: str, output: Output, start: str, step: str) -> list[tuple]:
+    """The complete blocks with rows that the output's current version has not read, in order.
+
+    The ledger has a row per batch and block, whatever the number of staged rows.
+    """
+    seen = spark.read.schema(_LEDGER).parquet(ledger)
+    latest = seen.agg(F.date_format(F.max("latest"), "yyyy-MM-dd HH:mm:ss")).first()[0]
+    if latest is None or latest <= start:
+        return []
+    newest = seen.groupBy("block").agg(F.max("batch").alias("newest"))
+    whole = (F.unix_seconds("block_end") - F.unix_seconds("block_start")) == seconds(step)
+    planned = blocks(spark, start, latest, step).where(whole).join(newest, "block", "left")
+    if output.current() is None:
+        return intervals_of(planned)
+    read = output.committed().select("block_start", "block_end", F.col("note").cast("int").alias("read"))
+    joined = planned.join(read, ["block_start", "block_end"], "left")
+    return intervals_of(joined.where(F.col("read").isNull() | (F.col("newest") > F.col("read"))))
+
+
+def staged_rows(spark: SparkSession, staged: str, ledger: str, schema: T.StructType, numbers: Sequence[int]) -> DataFrame:
+    """What is staged for some blocks; only the folders of those that have rows are listed."""
+    known = spark.read.schema(_LEDGER).parquet(ledger).where(F.col("block").isin(list(numbers))).select("block").distinct()
+    folders = [f"{staged}/block={r['block']}" for r in known.collect()]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", staged).parquet(*folders)
+
+
 def stream_extend(
     source: DataFrame,
     output: Output,
@@ -48,42 +77,34 @@ def stream_extend(
 ) -> StreamingQuery:
     """Start a query that takes what is available of a stream and publishes its complete blocks.
 
-    Every micro-batch is added to a staged table partitioned by block; the blocks that end by the
-    batch's latest stamp and are not in the output yet are read from it (``cube_of``, then ``steps``)
-    and published as one extension. A row that arrives for a block already published opens it again:
-    the block is made anew from everything staged for it and published with the next version. A batch
-    run again rewrites its own staged partitions, so nothing is taken twice.
+    Every micro-batch is added to a staged table partitioned by block, and to a ledger with one row per batch and block: how
+    many rows it brought and up to when. A block is complete when any batch has reached its end, and *dirty* while the ledger
+    has a batch for it that its published version has not read; the version keeps the last batch it has read with each block.
+    All complete blocks that are new or dirty are made from everything staged for them (``cube_of``, then ``steps``) and
+    published together as one extension. So late rows count whatever batch brings them, also alone; and a batch run again
+    rewrites its own partitions, so nothing is taken twice or lost.
     """
     spark = source.sparkSession
     staged = staging or f"{output.path}/staged"
+    ledger = f"{staged}-ledger"
     output.create()
 
     def take(batch: DataFrame, number: int) -> None:
-        seen = Observation()
-        rows = assign_block(batch, start, _FAR, step, time_dim).drop("block_start").withColumn("batch", F.lit(number))
-        rows = rows.observe(seen, F.date_format(F.max(time_dim), "yyyy-MM-dd HH:mm:ss").alias("latest"))
+        rows = assign_block(batch, start, _FAR, step, time_dim).drop("block_start", "block_end")
+        rows = rows.where(F.col("block") >= 0).withColumn("batch", F.lit(number))
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("block", "batch").parquet(staged)
-        latest = seen.get["latest"]
-        if latest is None or latest <= start:
-            return
-        whole = (F.unix_seconds("block_end") - F.unix_seconds("block_start")) == seconds(step)
-        planned = blocks(spark, start, latest, step).where(whole)
-        arrived = spark.read.parquet(staged)
-        current, late = output.current(), []
-        if current is not None:
-            known = local_copy(output.committed())
-            touched = arrived.where(F.col("batch") == number).select("block").distinct()
-            late = intervals_of(planned.join(known, ["block_start", "block_end"], "left_semi").join(touched, "block"))
-            planned = planned.join(known, ["block_start", "block_end"], "left_anti")
-        todo = [*consecutive(intervals_of(planned)), *([interval] for interval in late)]
+        brought = spark.read.schema(rows.schema).parquet(staged).where(F.col("batch") == number)
+        brought = brought.groupBy("block").agg(F.count(F.lit(1)).alias("rows"), F.max(time_dim).alias("latest"))
+        brought.coalesce(1).write.mode("overwrite").parquet(f"{ledger}/batch={number}")
+        todo = dirty_blocks(spark, ledger, output, start, step)
         if not todo:
             return
-        run = output.start(recipe_id, "new" if current is None else "extend", layout)
+        run = output.start(recipe_id, "new" if output.current() is None else "extend", layout)
         origin, length = datetime.datetime.fromisoformat(start), seconds(step)
-        for intervals in todo:
+        for intervals in consecutive(todo):
             numbers = [int((left - origin).total_seconds() // length) for left, _ in intervals]
-            inside = arrived.where(F.col("block").isin(numbers)).drop("block", "batch")
-            run.write_blocks(process(cube_of(inside), steps), intervals, checks)
+            inside = staged_rows(spark, staged, ledger, rows.schema, numbers).where(F.col("batch") <= number).drop("block", "batch")
+            run.write_blocks(process(cube_of(inside), steps), intervals, checks, note=str(number))
         run.publish()
 
     return (

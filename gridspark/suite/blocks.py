@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from gridspark.cube import Cube
 from gridspark.operators import blocks
+from gridspark.session import workspace
+from gridspark.sources.store import Output, intervals_of
 from gridspark.suite.tables import Tables, query
 
 _SPAN = ("2024-01-01", "2024-01-31", "8D")
@@ -112,3 +116,67 @@ def retention_by_age(t: Tables) -> DataFrame:
     seq = F.unix_seconds("written_at") * 1_000_000 + F.col("seq") % 1_000_000
     versions = _versions(t).withColumn("seq", seq)
     return blocks.expired_versions(versions, now="2001-08-01", keep_history="1000D")
+
+
+_SPAN_OF_HOURS = """s AS (SELECT date_trunc('day', min(time)) AS first, date_trunc('day', max(time)) + INTERVAL 1 DAY AS last FROM hourly),
+        k AS (SELECT time, lat, lon, t2m, first + to_days(CAST(8 * (date_diff('day', first, time) // 8) AS INT)) AS block_start,
+            last FROM hourly, s)"""
+
+
+@query(
+    "L6_static_once",
+    "hourly",
+    f"""WITH {_SPAN_OF_HOURS} SELECT block_start, lat, lon, CAST(count(t2m) AS BIGINT) AS n,
+        CASE WHEN lon > 0.5 THEN 0.5 + 2 * (lon - 0.25) END AS deptho FROM k GROUP BY 1, 2, 3""",
+)
+def static_once(t: Tables) -> DataFrame:
+    """Hourly values in blocks of eight days, each written apart with the same static field: its one stored table beside the counts
+    of every block."""
+    output, cube = _in_blocks(t, {})
+    start = F.to_timestamp("block", "yyyyMMdd'T'HHmmss").alias("block_start")
+    stored = t.spark.read.schema(_keyed(cube)).parquet(output.folder_of("data", "root", ("time", "lat", "lon")))
+    counts = stored.select(start, "lat", "lon", "t2m").groupBy("block_start", "lat", "lon").agg(F.count("t2m").alias("n"))
+    return counts.join(output.read().frame("lat", "lon"), ["lat", "lon"], "left")
+
+
+@query(
+    "L7_last_block_guard",
+    "hourly",
+    f"""WITH {_SPAN_OF_HOURS} SELECT block_start, least(block_start + INTERVAL 8 DAY, last) AS block_end, CAST(1 AS BIGINT) AS committed,
+        CAST(count(*) AS BIGINT) AS n FROM k GROUP BY 1, 2""",
+)
+def last_block_guard(t: Tables) -> DataFrame:
+    """Every block written and committed twice, as by a run that lost the answer to its commit: one commit each, one copy of
+    the rows."""
+    output, cube = _in_blocks(t, {"twice": True})
+    start = F.to_timestamp("block", "yyyyMMdd'T'HHmmss").alias("block_start")
+    stored = t.spark.read.schema(_keyed(cube)).parquet(output.folder_of("data", "root", ("time", "lat", "lon")))
+    rows = stored.groupBy(start).agg(F.count(F.lit(1)).alias("n"))
+    commits = output.manifest().where("kind = 'block'").groupBy("block_start", "block_end").agg(F.count(F.lit(1)).alias("committed"))
+    return commits.join(rows, "block_start").select("block_start", "block_end", "committed", "n")
+
+
+def _keyed(cube: Cube) -> T.StructType:
+    fields = cube.frame("time", "lat", "lon").schema.fields
+    return T.StructType([*fields, T.StructField("run", T.StringType()), T.StructField("block", T.StringType())])
+
+
+def _in_blocks(t: Tables, options: dict[str, bool]) -> tuple[Output, Cube]:
+    """All hours and a static field, written block by block in one run, from the first day of the table to the last."""
+    hourly = t.hourly().without(["n"])
+    seen = hourly.frame("time", "lat", "lon").agg(F.min("time").alias("first"), F.max("time").alias("last"))
+    day = F.expr("make_dt_interval(1)")
+    ends = seen.select(
+        F.date_format(F.date_trunc("day", "first"), "yyyy-MM-dd HH:mm:ss").alias("start"),
+        F.date_format(F.date_trunc("day", "last") + day, "yyyy-MM-dd HH:mm:ss").alias("end"),
+    ).first()
+    floor = F.when(F.col("lon") > 0.5, F.lit(0.5) + 2 * (F.col("lon") - 0.25)).alias("deptho")
+    cells = hourly.frame("time", "lat", "lon").select("lat", "lon").distinct().select("lat", "lon", floor)
+    cube = Cube.of({("time", "lat", "lon"): hourly.frame("time", "lat", "lon"), ("lat", "lon"): cells}, {"lat": t.lat, "lon": t.lon})
+    output = Output(t.spark, workspace(t.spark, "blocks"))
+    run = output.start()
+    for interval in intervals_of(blocks.blocks(t.spark, ends["start"], ends["end"], "8D")):
+        for _ in range(2 if options.get("twice") else 1):
+            run.write(cube, *interval)
+    run.publish()
+    return output, cube

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridspark.cube import Cube
 from gridspark.functions.bits import morton
-from gridspark.functions.packing import Encoding
+from gridspark.functions.packing import Encoding, TimeEncoding
 from gridspark.functions.times import encode_time
 from gridspark.operators import climatology, resample
 from gridspark.operators.blocks import blocks
@@ -288,6 +288,41 @@ def encode_times(t: Tables) -> DataFrame:
     return t.daily().frame("time", "cell").select(days, hours, "cell", "x")
 
 
+@query(
+    "B4_packed_output",
+    "ocean",
+    """WITH p AS (SELECT time, depth, lat, lon, thetao,
+            coalesce(CAST(round_even((thetao - 25.0) / 0.08, 0) AS SMALLINT), -32768) AS packed FROM ocean)
+        SELECT time, depth, lat, lon, packed,
+            round(CASE WHEN packed <> -32768 THEN packed * 0.08 + 25.0 END, 6) AS thetao FROM p""",
+)
+def packed_output(t: Tables) -> DataFrame:
+    """A packed variable as an output's files hold it, beside what reading the output gives."""
+    output, dims = Output(t.spark, workspace(t.spark, "packed")), ("time", "depth", "lat", "lon")
+    run = output.start(encodings={"thetao": Encoding("smallint", 0.08, 25.0, -32768)})
+    run.write(t.ocean())
+    run.publish()
+    stored = t.spark.read.parquet(output.folder_of("data", "root", dims)).select(*dims, F.col("thetao").alias("packed"))
+    return stored.join(rounded(output.read().frame(*dims), "thetao"), list(dims))
+
+
+@query(
+    "B5_encoded_output",
+    "daily",
+    """SELECT CAST(date_diff('hour', TIMESTAMP '1994-12-31 12:00:00', time) AS BIGINT) AS hours, time, cell, x FROM daily""",
+)
+def encoded_output(t: Tables) -> DataFrame:
+    """Stamps as an output's files hold them, beside what reading the output gives."""
+    output = Output(t.spark, workspace(t.spark, "encoded"))
+    units = "hours since 1994-12-31 12:00:00"
+    run = output.start(encodings={"time": TimeEncoding(units)})
+    run.write(t.daily())
+    run.publish()
+    stored = t.spark.read.parquet(output.folder_of("data", "root", ("time", "cell")))
+    back = output.read().frame("time", "cell").withColumn("hours", encode_time(F.col("time"), units))
+    return back.join(stored.select(F.col("time").alias("hours"), "cell"), ["hours", "cell"])
+
+
 @query(
     "B6_write_groups",
     "daily",

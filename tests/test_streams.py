@@ -59,6 +59,37 @@ def test_late_rows_open_their_block_again(spark, tmp_path):
     assert array_of(output.read(1), "v").tolist() == [sum(range(20)), sum(range(24, 48))]
 
 
+def test_late_rows_count_in_whatever_batch_they_come(spark, tmp_path):
+    """Alone in a batch, in the newest block of a batch, and for a block that had none; then a batch runs again."""
+    output = Output(spark, f"{tmp_path}/out")
+    steps = [{"name": "resample", "time": "1D", "reduce": "sum", "dense": False}]
+    hours = set()
+
+    def take(*parts, checkpoint=None):
+        for first, last in parts:
+            arriving(spark, tmp_path, first, last)
+            hours.update(range(first, last))
+        source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        cube = lambda df: Cube.of({("time",): df})
+        stream_extend(source, output, cube, "2020-01-01 00:00:00", "1D", steps, checkpoint=checkpoint).awaitTermination()
+        rows = {r["time"].day - 1: r["v"] for r in output.read().frame("time").collect()}
+        whole = max(hours) // 24
+        assert rows == {d: sum(h for h in hours if h // 24 == d) for d in range(whole) if any(h // 24 == d for h in hours)}
+
+    schema = arriving(spark, tmp_path, 0, 30)
+    hours.update(range(30))
+    take((36, 60), (96, 121))  # day 3 has no rows
+    before = output.current()
+    take((30, 33))
+    assert output.current() == before + 1
+    take((33, 36), (60, 61), (74, 75))
+    take((61, 62))
+    before = output.current()
+    take()
+    assert output.current() == before
+    take(checkpoint=f"{tmp_path}/again")  # all files once more, as batch 0
+
+
 def test_streamed_bins_are_those_of_the_batch(spark, tmp_path):
     schema = arriving(spark, tmp_path, 0, 100)
     source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in").withColumn("cell", F.lit(1))
