@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,6 +41,72 @@ def calendar_unit(frequency: str) -> str | None:
     return _CALENDAR_UNITS[match.group(1)] if match else None
 
 
+# Months and weekdays as frequencies name them, in order.
+_MONTHS = "JAN FEB MAR APR MAY JUN JUL AUG SEP OCT NOV DEC".split()
+_WEEKDAYS = "MON TUE WED THU FRI SAT SUN".split()
+_FIRST_MONDAY = 4  # days since 1970-01-01
+
+
+@dataclass(frozen=True)
+class Calendar:
+    """Bins of ``count`` weeks, months, quarters or years, as numbers of units since 1970.
+
+    A unit is ``size`` months from month ``anchor`` (0 is January 1970) on, or 7 days from day ``anchor`` on. Frequencies of ends
+    (ME, QE, YE, W) are named by their last day and closed on the right, those of starts (MS, QS, YS) by their first
+    day and closed on the left.
+    """
+
+    size: int
+    anchor: int
+    count: int
+    ends: bool
+
+    @classmethod
+    def of(cls, frequency: str) -> Calendar | None:
+        """``3MS``, ``QE``, ``QS-FEB``, ``YE-JUN``, ``2W-MON``; None for fixed durations."""
+        if not isinstance(frequency, str):
+            return None
+        match = re.fullmatch(r"(\d*)([MQY])([SE])(?:-([A-Z]{3}))?|(\d*)W(?:-([A-Z]{3}))?", frequency)
+        if match is None:
+            return None
+        count, unit, side, month, weeks, day = match.groups()
+        times = int(count or weeks or 1)
+        if times < 1 or (unit == "M" and month) or month not in (None, *_MONTHS) or day not in (None, *_WEEKDAYS):
+            raise ValueError(f"{frequency!r} is not a frequency")
+        if unit is None:
+            return cls(7, _FIRST_MONDAY + (_WEEKDAYS.index(day or "SUN") + 1) % 7, times, True)
+        size, ends = {"M": 1, "Q": 3, "Y": 12}[unit], side == "E"
+        first = _MONTHS.index(month or ("DEC" if ends else "JAN")) + ends
+        return cls(size, first % size, times, ends)
+
+    @property
+    def weekly(self) -> bool:
+        return self.size == 7
+
+    def unit_of(self, time: Column) -> Column:
+        """The number of the unit that holds ``time``."""
+        if self.weekly:
+            at = F.unix_date(F.to_date(time))
+        else:
+            at = (F.year(time) - 1970) * 12 + F.month(time) - 1
+        return F.floor((at - F.lit(self.anchor)) / F.lit(self.size)).cast("int")
+
+    def start_of(self, unit: Column) -> Column:
+        """The midnight a unit starts at."""
+        at = unit * self.size + self.anchor
+        if self.weekly:
+            return F.date_from_unix_date(at.cast("int")).cast("timestamp")
+        return F.add_months(F.lit("1970-01-01").cast("date"), at.cast("int")).cast("timestamp")
+
+    def bin_of(self, unit: Column, first: Column | None, last_closes: bool) -> Column:
+        """The first unit of the bin that holds ``unit``. Bins of several units are counted from the unit of the first stamp,
+        which begins a bin, or ends one (``last_closes``)."""
+        if self.count == 1:
+            return unit
+        lead = self.count - 1 if last_closes else 0
+        return first - lead + F.floor((unit - first + lead) / self.count).cast("int") * self.count
+
+
 def stamp(value: str | datetime.datetime) -> Column:
     """A UTC instant literal; offsets other than UTC's are refused."""
     parsed = datetime.datetime.fromisoformat(value) if isinstance(value, str) else value

@@ -19,17 +19,13 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from gridspark.cube import Cube, Dims
-from gridspark.functions.times import calendar_unit, plus, seconds, stamp
+from gridspark.functions.times import Calendar, plus, seconds, stamp
 from gridspark.plans.axes import spine
 from gridspark.plans.sizing import local_copy
 from gridspark.plans.steps import step
 
 REDUCTIONS = ("mean", "sum", "min", "max", "median", "std", "var", "first", "last", "count")
 
-# Intervals that move a calendar bin's start to the next one's.
-_NEXT = {"month": "INTERVAL 1 MONTH", "quarter": "INTERVAL 3 MONTH", "year": "INTERVAL 1 YEAR"}
-
-
 def _reduced(reduce: str, name: str, time: Column) -> Column:
     value = F.col(name)
     when_valid = F.when(value.isNotNull(), time)
@@ -55,15 +51,19 @@ class Bins:
         for value in (label, closed):
             if value not in (None, "left", "right"):
                 raise ValueError("resample: label and closed are 'left' or 'right'")
-        self.unit = calendar_unit(frequency)
-        weekly = self.unit == "week"
-        self.label_right = (label or ("right" if weekly else "left")) == "right"
-        self.closed_right = (closed or ("right" if weekly else "left")) == "right"
-        if self.unit is not None:
+        self.calendar = Calendar.of(frequency)
+        ends = self.calendar is not None and self.calendar.ends
+        self.label_right = (label or ("right" if ends else "left")) == "right"
+        self.closed_right = (closed or ("right" if ends else "left")) == "right"
+        if self.calendar is not None:
             if offset is not None or origin is not None:
                 raise ValueError("resample: offset and origin are for fixed periods")
-            if weekly and not self.closed_right:
-                raise ValueError("resample: weeks are closed on the right")
+            if ends and not self.closed_right:
+                raise ValueError("resample: bins named by their ends are closed on the right")
+            self.first = None
+            if self.calendar.count > 1:  # counted from the first stamp
+                first = cube.axis(dim).agg(F.min(dim).alias("t"))
+                self.first = first.select(self.calendar.unit_of(self._inside(F.col("t")))).scalar()
             return
         self.period = seconds(frequency)
         if self.period <= 0:
@@ -79,31 +79,40 @@ class Bins:
             return first.select(F.date_trunc("day", "t") if origin == "start_day" else F.col("t")).scalar()
         return stamp(origin)
 
+    def _inside(self, time: Column) -> Column:
+        """A stamp on a bin's right end belongs to it; days that name bins of ends belong to them whole."""
+        if not self.closed_right or (self.calendar is not None and self.calendar.ends):
+            return time
+        return F.timestamp_micros(F.unix_micros(time) - 1)
+
     def start(self, time: Column) -> Column:
         """The start of the bin holding ``time``."""
-        if self.unit == "week":  # Monday to Sunday, whatever the hour
-            return F.date_trunc("week", time)
-        if self.closed_right:
-            time = F.timestamp_micros(F.unix_micros(time) - 1)
-        if self.unit is not None:
-            return F.date_trunc(self.unit, time)
+        time = self._inside(time)
+        if self.calendar is not None:
+            unit = self.calendar.unit_of(time)
+            return self.calendar.start_of(self.calendar.bin_of(unit, self.first, self.closed_right))
         since = F.unix_micros(time) - F.unix_micros(self.origin)
         return F.timestamp_micros(F.unix_micros(time) - F.pmod(since, F.lit(self.period * 1_000_000)))
 
     def label(self, start: Column) -> Column:
         """The label of the bin that starts at ``start``."""
-        if self.unit == "week":
-            return plus(start, (6 if self.label_right else -1) * 86400)
-        if not self.label_right:
-            return start
-        return start + F.expr(_NEXT[self.unit]) if self.unit is not None else plus(start, self.period)
+        if self.calendar is not None and self.calendar.ends:  # named by a day, the last or the one before the first
+            return (self._next(start) if self.label_right else start) - F.expr("INTERVAL 1 DAY")
+        return self._next(start) if self.label_right else start
+
+    @property
+    def _step(self) -> str:
+        if self.calendar is None:
+            return f"INTERVAL {self.period} SECONDS"
+        many = self.calendar.size * self.calendar.count
+        return f"INTERVAL {many} {'DAYS' if self.calendar.weekly else 'MONTHS'}"
+
+    def _next(self, start: Column) -> Column:
+        return start + F.expr(self._step)
 
     def between(self, first: Column, last: Column) -> Column:
         """The starts of all bins from ``first`` to ``last``."""
-        if self.unit == "week":
-            return F.sequence(first, last, F.expr("INTERVAL 7 DAYS"))
-        by = F.expr(_NEXT[self.unit]) if self.unit is not None else F.expr(f"INTERVAL {self.period} SECONDS")
-        return F.sequence(first, last, by)
+        return F.sequence(first, last, F.expr(self._step))
 
 
 def bin_table(cube: Cube, dim: str, bins: Bins) -> DataFrame:
@@ -132,7 +141,8 @@ def resample(
     """Reduce the bins of a dimension: ``resample(cube, "mean", time="1D")``.
 
     Fixed periods are anchored at the midnight of the first stamp's day (or ``origin``: "start",
-    "epoch", a stamp), moved by ``offset``; calendar frequencies are MS, QS, YS and W. With
+    "epoch", a stamp), moved by ``offset``; calendar frequencies are weeks (W, W-MON), and starts and ends of months, quarters and
+    years (MS, QE, YS-JUL), each also by several ("3MS"), counted from the first stamp's. With
     ``dense=False`` only bins with rows appear. Variables without the dimension are unchanged.
     """
     if reduce not in REDUCTIONS:

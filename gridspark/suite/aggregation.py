@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,6 +124,32 @@ def resample_last(t: Tables) -> DataFrame:
     return _bins(t, "last", None, time="1MS")
 
 
+_CALENDARS = {
+    "3MS": """make_date(CAST((f + (m - f) // 3 * 3) // 12 AS BIGINT), CAST((f + (m - f) // 3 * 3) % 12 + 1 AS BIGINT), 1)""",
+    "QE": "last_day(date_trunc('quarter', time) + INTERVAL 2 MONTH)",
+    "W-MON": "CAST(time AS DATE) + CAST((8 - isodow(time)) % 7 AS INT)",
+}
+
+
+@query(
+    "H2_calendar_bins",
+    "daily",
+    """WITH d AS (SELECT *, year(time) * 12 + month(time) - 1 AS m, (SELECT min(year(time) * 12 + month(time) - 1) FROM daily) AS f FROM daily)
+        """
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS frequency, CAST({label} AS TIMESTAMP) AS time, cell, round(sum(CAST(x AS DECIMAL(18,2))) / count(x), 7) AS x FROM d GROUP BY 2, 3"
+        for name, label in _CALENDARS.items()
+    ),
+)
+def calendar_bins(t: Tables) -> DataFrame:
+    """Means of three months from the first stamp's on, of quarters named by their ends, and of weeks that end on Mondays."""
+    parts = [
+        resample.resample(t.daily(), "mean", dense=False, time=name).frame("time", "cell").withColumn("frequency", F.lit(name))
+        for name in _CALENDARS
+    ]
+    return rounded(reduce(DataFrame.unionByName, parts), "x", digits=7)
+
+
 @query("H11_resample_count", "hourly", _dense(*_DAY, "count(v)").format(value="CAST(coalesce(s.v, 0) AS BIGINT)"))
 def resample_count(t: Tables) -> DataFrame:
     return _bins(t, "count", None)

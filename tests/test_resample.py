@@ -42,7 +42,7 @@ def test_edges_and_labels(hourly, closed, label):
     assert stamps == [t.strftime("%Y-%m-%d %H") for t in expected.index]
 
 
-@pytest.mark.parametrize("frequency", ["5D", "7h", "1MS", "1W"])
+@pytest.mark.parametrize("frequency", ["5D", "7h", "1MS", "1W", "3MS", "ME", "2ME", "QS", "QE", "QS-FEB", "QE-JAN", "YS", "YE-MAR", "W-MON", "2W", "3W-THU", "2QS"])
 def test_periods_are_anchored_like_the_first_day(spark, frequency):
     stamps = days(100, datetime.datetime(2020, 2, 5, 6), datetime.timedelta(hours=11))
     values = np.arange(100.0)
@@ -54,6 +54,19 @@ def test_periods_are_anchored_like_the_first_day(spark, frequency):
     np.testing.assert_allclose(got["v"].to_numpy(float), expected.to_numpy())
 
 
+@pytest.mark.parametrize("options", [{"closed": "right"}, {"label": "right"}, {"closed": "right", "label": "right"}])
+@pytest.mark.parametrize("frequency", ["MS", "3MS", "2QS-MAR"])
+def test_sides_of_calendar_bins(spark, frequency, options):
+    stamps = days(120, datetime.datetime(2020, 1, 1), datetime.timedelta(hours=36))
+    values = np.arange(120.0)
+    cube = cube_of(spark, ("time",), values, {"time": stamps}, "v")
+    expected = pd.Series(values, pd.DatetimeIndex(stamps)).resample(frequency, **options).mean()
+    got = resample.resample(cube, "mean", time=frequency, **options).frame("time")
+    got = got.selectExpr("date_format(time, 'yyyy-MM-dd HH:mm') AS t", "v").toPandas().sort_values("t")
+    assert got["t"].tolist() == [t.strftime("%Y-%m-%d %H:%M") for t in expected.index]
+    np.testing.assert_allclose(got["v"].to_numpy(float), expected.to_numpy())
+
+
 def test_bins_without_stamps_are_missing(spark):
     stamps = np.array(["2020-01-01T00", "2020-01-04T12"], dtype="datetime64[us]")
     cube = cube_of(spark, ("time",), np.array([np.nan, 2.0]), {"time": stamps}, "v")
