@@ -148,38 +148,16 @@ def _counted_days(hours: Cube) -> Cube:
     return select.assign_var_attrs(days, n={"long_name": "number of hours", "units": "1"})
 
 
-@query(
-    "J7_block_checks",
-    "hourly",
-    """SELECT d AS time, c.lat, c.lon, CAST(count(t2m) AS BIGINT) AS n
-        FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-03', TIMESTAMP '2024-01-14', INTERVAL 1 DAY)) AS d) CROSS JOIN
-            (SELECT CAST(-1.75 + 0.5 * i AS DOUBLE) AS lat, CAST(0.25 + 0.5 * j AS DOUBLE) AS lon
-                FROM (SELECT unnest(range(8)) AS i), (SELECT unnest(range(8)) AS j)) c
-        LEFT JOIN hourly h ON h.lat = c.lat AND h.lon = c.lon AND date_trunc('day', time) = d GROUP BY 1, 2, 3""",
-)
-def block_checks(t: Tables) -> DataFrame:
-    """Daily counts in blocks of four days: each block's days, attributes and values are checked before
-    it is recorded."""
-    output = Output(t.spark, workspace(t.spark, "block-checks"))
-    days = _counted_days(t.hourly("2024-01-03", "2024-01-15"))
-    run = output.start()
-    for start, end in intervals_of(blocks(t.spark, "2024-01-03", "2024-01-15", "4D")):
-        run.write(time_sel(days, start, end), start, end, _RULES)
-    run.publish()
-    return output.read().frame(*HOURLY)
-
-
-@query(
-    "J7_block_checks_whole",
-    "hourly",
-    """SELECT d AS time, c.lat, c.lon, CAST(count(t2m) AS BIGINT) AS n
+_COUNTED_DAYS = """SELECT d AS time, c.lat, c.lon, CAST(count(t2m) AS BIGINT) AS n
         FROM (SELECT unnest(generate_series(date_trunc('day', min(ts)), date_trunc('day', max(ts)), INTERVAL 1 DAY)) AS d FROM events)
         CROSS JOIN (SELECT CAST(-1.75 + 0.5 * i AS DOUBLE) AS lat, CAST(0.25 + 0.5 * j AS DOUBLE) AS lon
                 FROM (SELECT unnest(range(8)) AS i), (SELECT unnest(range(8)) AS j)) c
-        LEFT JOIN hourly h ON h.lat = c.lat AND h.lon = c.lon AND date_trunc('day', time) = d GROUP BY 1, 2, 3""",
-)
-def block_checks_whole(t: Tables) -> DataFrame:
-    """The daily counts from the table's first day to its last, checked and recorded in blocks of four days."""
+        LEFT JOIN hourly h ON h.lat = c.lat AND h.lon = c.lon AND date_trunc('day', time) = d GROUP BY 1, 2, 3"""
+
+
+def _days_in_blocks(t: Tables, step: str, apart: bool) -> DataFrame:
+    """The daily counts from the table's first day to its last, in blocks; each block's days, attributes and values are checked
+    before it is recorded."""
     days = _counted_days(t.hourly())
     day = F.date_trunc("day", "ts").cast("date")
     ends = t.table("events").agg(F.min(day).alias("first"), F.date_add(F.max(day), 1).alias("end")).first()
@@ -187,7 +165,20 @@ def block_checks_whole(t: Tables) -> DataFrame:
         return days.frame(*HOURLY)
     output = Output(t.spark, workspace(t.spark, "block-checks"))
     run = output.start()
-    tiles = blocks(t.spark, ends["first"].isoformat(), ends["end"].isoformat(), "4D")
-    run.write_blocks(days, intervals_of(tiles), _RULES)
+    intervals = intervals_of(blocks(t.spark, ends["first"].isoformat(), ends["end"].isoformat(), step))
+    for part in [[i] for i in intervals] if apart else [intervals]:
+        run.write_blocks(days, part, _RULES)
     run.publish()
     return output.read().frame(*HOURLY)
+
+
+@query("J7_block_checks", "hourly", _COUNTED_DAYS)
+def block_checks(t: Tables) -> DataFrame:
+    """Blocks of ten days, one write each."""
+    return _days_in_blocks(t, "10D", apart=True)
+
+
+@query("J7_block_checks_whole", "hourly", _COUNTED_DAYS)
+def block_checks_whole(t: Tables) -> DataFrame:
+    """Blocks of four days, all in one write."""
+    return _days_in_blocks(t, "4D", apart=False)

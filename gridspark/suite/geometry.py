@@ -89,11 +89,17 @@ def depth_bounds(t: Tables) -> DataFrame:
 _AREA = "pow(6371000.0, 2) * abs(sin(radians(lat + 0.25)) - sin(radians(lat - 0.25))) * radians(0.5)"
 
 
-@query("G2_cell_area", "stock", f"SELECT lat, lon, size, round({_AREA} / 1000000.0, 3) AS km2 FROM stock")
+@query(
+    "G2_cell_area",
+    "stock",
+    f"""WITH c AS (SELECT CAST(-1.75 + 0.5 * i AS DOUBLE) AS lat, CAST(0.25 + 0.5 * j AS DOUBLE) AS lon
+            FROM (SELECT unnest(range(8)) AS i), (SELECT unnest(range(8)) AS j))
+        SELECT lat, lon, size, round({_AREA} / 1000000.0, 3) AS km2 FROM c LEFT JOIN stock USING (lat, lon)""",
+)
 def cell_area(t: Tables) -> DataFrame:
     frame = cells.cell_area(t.stock(), "area", **WHERE).frame("lat", "lon")
     km2 = F.round(F.col("area") / 1_000_000.0, 3)
-    return frame.select("lat", "lon", "size", km2.alias("km2")).where(F.col("size").isNotNull())
+    return frame.select("lat", "lon", "size", km2.alias("km2"))
 
 
 @query(
@@ -162,8 +168,8 @@ def _mode(order: str) -> str:
     return f"""WITH {_CELLS.format(source='hourly')},
         k AS (SELECT date_trunc('day', time) AS time, tlat, tlon, n, count(*) AS c FROM p GROUP BY 1, 2, 3, 4),
         r AS (SELECT *, row_number() OVER (PARTITION BY time, tlat, tlon ORDER BY c {order}, n) AS r FROM k)
-        SELECT time, tlat AS lat, tlon AS lon, CAST(n AS BIGINT) AS n FROM r WHERE r = 1
-            AND tlat BETWEEN -1.75 AND 1.75 AND tlon BETWEEN 0.25 AND 3.75"""
+        SELECT time, tlat AS lat, tlon AS lon,
+            CASE WHEN tlat BETWEEN -1.75 AND 1.75 AND tlon BETWEEN 0.25 AND 3.75 THEN CAST(n AS BIGINT) END AS n FROM r WHERE r = 1"""
 
 
 def _most(t: Tables, method: str) -> DataFrame:
@@ -171,7 +177,7 @@ def _most(t: Tables, method: str) -> DataFrame:
     frame = cube.frame(*HOURLY).withColumn("time", F.date_trunc("day", "time"))
     cube = replace(cube, frames={HOURLY: frame})
     out = regrid.regrid(cube, BEYOND, method=method, **WHERE)
-    return _plain_labels(out.frame(*HOURLY)).where(F.col("n").isNotNull())
+    return _plain_labels(out.frame(*HOURLY))
 
 
 @query("G6_regrid_most_common", "hourly", _mode("DESC"))
@@ -248,9 +254,12 @@ def regrid_cubic(t: Tables) -> DataFrame:
         t AS (SELECT time, depth, tlat, tlon, sum(w * coalesce(thetao, 0)) / max(whole) AS v
             FROM ocean JOIN w USING (lat, lon) JOIN total USING (tlat, tlon) GROUP BY 1, 2, 3, 4),
         b AS (SELECT time, depth, sum(v * abs(sin(radians(tlat + 0.5)) - sin(radians(tlat - 0.5))) * radians(1.0)) AS s
-            FROM t GROUP BY 1, 2)
-        SELECT time, depth, round(a.s, 6) AS source_total, round(b.s, 6) AS target_total,
-            coalesce(abs(a.s - b.s) <= 1e-9 * a.s, true) AS conserved FROM a JOIN b USING (time, depth)""",
+            FROM t GROUP BY 1, 2),
+        levels AS (SELECT time, depth FROM (SELECT DISTINCT time FROM ocean)
+            CROSS JOIN (SELECT unnest([0.5::DOUBLE, 2.0::DOUBLE, 5.0::DOUBLE]) AS depth))
+        SELECT time, depth, round(coalesce(a.s, 0.0), 6) AS source_total, round(coalesce(b.s, 0.0), 6) AS target_total,
+            coalesce(abs(a.s - b.s) <= 1e-9 * a.s, true) AS conserved
+        FROM levels LEFT JOIN a USING (time, depth) LEFT JOIN b USING (time, depth)""",
 )
 def conservation_check(t: Tables) -> DataFrame:
     """Totals before and after (over the square of the radius); the step fails if they differ."""
@@ -259,8 +268,7 @@ def conservation_check(t: Tables) -> DataFrame:
     out = regrid.regrid(cube, NESTED, **options, conservation_tolerance=1e-9)
     report = regrid.conservation_report(cube, out, "thetao", 1e-9, "lat", "lon")
     scale = F.lit(cells.EARTH_RADIUS**2)
-    present = cube.frame(*OCEAN).select("time", "depth").distinct()
-    return report.join(present, ["time", "depth"], "left_semi").select(
+    return report.select(
         "time",
         "depth",
         F.round(F.col("source_total") / scale, 6).alias("source_total"),

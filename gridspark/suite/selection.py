@@ -144,7 +144,7 @@ def coverage_attrs(t: Tables) -> DataFrame:
 @query(
     "C16_output_coverage",
     "hourly",
-    """WITH t AS (SELECT DISTINCT time FROM hourly WHERE dayofmonth(time) <= 10 OR dayofmonth(time) BETWEEN 9 AND 20),
+    """WITH t AS (SELECT DISTINCT time FROM hourly),
         g AS (SELECT time, time - lag(time) OVER (ORDER BY time) AS gap FROM t),
         a AS (SELECT min(time) AS t0, max(time) AS t1, min(gap) AS g0, max(gap) AS g1 FROM g)
         SELECT 'time_coverage_start' AS attribute, CAST(NULL AS DOUBLE) AS number, strftime(t0, '%Y-%m-%dT%H:%M:%SZ') AS text FROM a
@@ -152,10 +152,10 @@ def coverage_attrs(t: Tables) -> DataFrame:
         UNION ALL SELECT 'time_coverage_resolution', NULL, 'PT' || CAST(epoch(g0) / 3600 AS BIGINT) || 'H' FROM a WHERE g0 = g1""",
 )
 def output_coverage(t: Tables) -> DataFrame:
-    """Stored stamps and a block that overlaps them."""
+    """Stored stamps of odd days and of the first hours of all, and a block with even days and the first half of all."""
     hours = t.table("events").select(F.date_trunc("hour", "ts").alias("time"))
-    stored = hours.where(F.dayofmonth("time") <= 10)
-    block = hours.where(F.dayofmonth("time").between(9, 20))
+    stored = hours.where((F.dayofmonth("time") % 2 == 1) | (F.hour("time") < 6))
+    block = hours.where((F.dayofmonth("time") % 2 == 0) | (F.hour("time") < 12))
     return coverage.output_coverage(stored, block)
 
 
