@@ -2,14 +2,15 @@
 
 Values are folded into the bins of a period, per cell: count, mean and sum of squared deviations
 (``n``, ``mean``, ``m2``), which merge, so that map tasks shuffle one row per cell and bin. The window
-then pools neighbouring bins, wrapping around the period; it only needs the statistics, partitioned
-by cell once: exploding the offsets, the pooled mean and the pooled spread all stay in that
-partitioning.
+then pools neighbouring bins, wrapping around the period. The statistics of a cell become one array,
+the ring of its bins (``period`` of them, whatever the length of the series), and the window merges the
+ring with itself, turned by each offset; rows are never multiplied by the window. Windows of equal
+weights are put together from spans of 1, 2, 4, ... bins.
 
 With ``V1 = sum w n`` and ``V2 = sum w^2 n`` over a window, the climatology is ``c = sum w n mean / V1``
 and the variance ``sum w (n (mean - c)^2 + m2) / (V1 - V2 / V1)``: unbiased for reliability weights,
-missing when the denominator is not positive. Squared deviations are summed from the pooled mean,
-never from sums of squares.
+missing when the denominator is not positive. Samples are merged by their means and squares around
+them, never from sums of squares.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from gridspark.cube import Cube, Dims
 from gridspark.functions.times import day_of_year_bin, stamp
@@ -138,46 +138,109 @@ def pooled(
     weighting: str = "constant",
     weighting_scale: float | None = None,
 ) -> DataFrame:
-    """``(cell dims, bin, climatology, anomaly_variance, anomaly_std)`` from bin statistics."""
+    """``(cell dims, bin, climatology, anomaly_variance, anomaly_std)`` from bin statistics, one row per
+    cell and bin. With a window, every cell of the statistics gets all bins of the period; those whose window holds no
+    value are missing."""
     cell = list(cell)
     offsets = window_of(window, weighting, weighting_scale)
-    if len(offsets) == 1:  # a bin pools itself: the statistics' own partitioning serves
-        spread = statistics.select(*cell, BIN, F.lit(1.0).alias("w"), "n", "mean", "m2")
+    if len(offsets) == 1:  # a bin pools itself, row by row
+        alone = _weighed(F.struct("n", "mean", "m2"), F.lit(offsets[0][1]))
+        return _spread(statistics.select(*cell, BIN, alone.alias("s")), cell)
+    rows = F.collect_list(F.struct(BIN, "n", "mean", "m2"))
+    rings = (statistics.groupBy(*cell) if cell else statistics.groupBy()).agg(rows.alias("rows"))
+    if not cell:
+        rings = rings.where(F.size("rows") > 0)
+    rings = rings.select(*cell, _ring(F.col("rows"), period).alias("ring"))
+    if len({w for _, w in offsets}) == 1:
+        folded = _doubled(rings, cell, period, offsets)
     else:
-        by_cell = statistics.repartition(*cell) if cell else statistics
-        pairs = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(w).alias("w")) for k, w in offsets))
-        spread = by_cell.select("*", F.explode(pairs).alias("o")).select(
-            *cell,
-            F.pmod(F.col(BIN) - F.col("o.k"), F.lit(period)).cast("int").alias(BIN),
-            F.col("o.w").alias("w"),
-            "n",
-            "mean",
-            "m2",
+        pairs = F.array(*(F.struct(F.lit(k % period).alias("k"), F.lit(w).alias("w")) for k, w in offsets))
+        nothing = F.transform("ring", lambda _: _weighed(F.struct(*_no_values()), F.lit(1.0)))
+        fold = F.aggregate(
+            pairs,
+            nothing,
+            lambda done, o: F.zip_with(
+                done, _turned(F.col("ring"), o["k"], period), lambda a, b: _merged(a, _weighed(b, o["w"]))
+            ),
         )
-    one = Window.partitionBy(*cell, BIN)
-    n, w = F.col("n"), F.col("w")
-    centred = spread.withColumns(
-        {
-            "V1": F.sum(w * n).over(one),
-            "S": F.sum(F.when(n > 0, w * n * F.col("mean"))).over(one),
-        }
-    ).withColumn("c", F.when(F.col("V1") > 0, F.col("S") / F.col("V1")))
-    deviation = F.col("mean") - F.col("c")
-    squares = F.when(n > 0, w * (deviation * deviation * n + F.col("m2")))
-    sums = centred.groupBy(*cell, BIN).agg(
-        F.max("c").alias("c"), F.max("V1").alias("V1"), F.sum(w * w * n).alias("V2"), F.sum(squares).alias("Q")
+        folded = rings.select(*cell, fold.alias("ring"))
+    return _spread(folded.select(*cell, F.posexplode("ring").alias(BIN, "s")), cell)
+
+
+def _no_values() -> list[Column]:
+    """A bin without values, as statistics."""
+    return [F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2")]
+
+
+def _ring(rows: Column, period: int) -> Column:
+    """The statistics of a cell in the order of its bins, those it has no row for included."""
+    absent = F.array_except(F.sequence(F.lit(0), F.lit(period - 1)), F.transform(rows, lambda r: r[BIN]))
+    blank = F.transform(absent, lambda b: F.struct(b.alias(BIN), *_no_values()))
+    ordered = F.array_sort(F.concat(rows, blank.cast(f"array<struct<{BIN}:int,n:bigint,mean:double,m2:double>>")))
+    return F.transform(ordered, lambda r: F.struct(r["n"].alias("n"), r["mean"].alias("mean"), r["m2"].alias("m2")))
+
+
+def _turned(ring: Column, k: Column, period: int) -> Column:
+    """The ring from its bin ``k`` on, and the bins before it after that."""
+    return F.concat(F.slice(ring, k + 1, F.lit(period) - k), F.slice(ring, F.lit(1), k))
+
+
+def _weighed(bin_: Column, w: Column) -> Column:
+    """A bin's statistics as sums that merge: weights, squared weights, the mean, squares around it."""
+    n = bin_["n"].cast("double")
+    some = n > 0
+    return F.struct(
+        (w * n).alias("v1"),
+        (w * w * n).alias("v2"),
+        F.when(some, bin_["mean"]).otherwise(0.0).alias("mean"),
+        F.when(some, w * bin_["m2"]).otherwise(0.0).alias("q"),
     )
-    freedom = F.when(F.col("V1") > 0, F.col("V1") - F.col("V2") / F.col("V1"))
-    out = sums.withColumn("freedom", freedom).withColumn(
-        "variance", F.when(F.col("freedom") > 0, F.col("Q") / F.col("freedom"))
+
+
+def _merged(a: Column, b: Column) -> Column:
+    """The sums of two samples together. Nothing is subtracted but means, so no digits cancel."""
+    total = a["v1"] + b["v1"]
+    share = F.when(total > 0, b["v1"] / total).otherwise(0.0)
+    delta = b["mean"] - a["mean"]
+    return F.struct(
+        total.alias("v1"),
+        (a["v2"] + b["v2"]).alias("v2"),
+        (a["mean"] + delta * share).alias("mean"),
+        (a["q"] + b["q"] + delta * delta * a["v1"] * share).alias("q"),
     )
-    floor = F.when(F.col("variance") < 0, F.lit(0.0)).otherwise(F.col("variance"))
-    return out.select(
+
+
+def _doubled(rings: DataFrame, cell: list[str], period: int, offsets: list[tuple[int, float]]) -> DataFrame:
+    """Windows of equal weights: spans of 1, 2, 4, ... bins, each from two of half the length, and the
+    window put together from the spans in its size. The steps grow with the logarithm of the window."""
+    first, weight = offsets[0]
+    one = F.transform("ring", lambda b: _weighed(b, F.lit(weight)))
+    table = rings.select(*cell, one.alias("span"), F.lit(None).alias("ring"))
+    taken, length, have = 0, 1, False
+    while length <= len(offsets):
+        if len(offsets) & length:
+            piece = _turned(F.col("span"), F.lit((first + taken) % period), period)
+            whole = F.zip_with("ring", piece, _merged) if have else piece
+            table = table.select(*cell, "span", whole.alias("ring"))
+            taken, have = taken + length, True
+        length *= 2
+        if length <= len(offsets):
+            twice = F.zip_with("span", _turned(F.col("span"), F.lit(length // 2 % period), period), _merged)
+            table = table.select(*cell, twice.alias("span"), "ring")
+    return table.select(*cell, "ring")
+
+
+def _spread(table: DataFrame, cell: list[str]) -> DataFrame:
+    """The results from the merged sums ``s`` of each cell and bin."""
+    v1, v2, q = (F.col("s")[c] for c in ("v1", "v2", "q"))
+    freedom = F.when(v1 > 0, v1 - v2 / v1)
+    variance = F.when(freedom > 0, q / freedom)
+    return table.select(
         *cell,
-        BIN,
-        F.col("c").alias("climatology"),
-        F.col("variance").alias("anomaly_variance"),
-        F.sqrt(floor).alias("anomaly_std"),
+        F.col(BIN).cast("int").alias(BIN),
+        F.when(v1 > 0, F.col("s")["mean"]).alias("climatology"),
+        variance.alias("anomaly_variance"),
+        F.sqrt(F.when(variance < 0, 0.0).otherwise(variance)).alias("anomaly_std"),
     )
 
 

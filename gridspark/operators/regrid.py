@@ -27,7 +27,7 @@ from pyspark.sql.types import DataType
 from pyspark.sql.window import Window
 
 from gridspark.cube import Cube, Dims
-from gridspark.operators.cells import area_weighted_total, edges, with_area
+from gridspark.operators.cells import area_weighted_total, area_weighted_totals, edges
 from gridspark.plans.axes import spine
 from gridspark.plans.sizing import local_copy
 from gridspark.plans.steps import step
@@ -494,29 +494,42 @@ def _conserving(
 ) -> Cube:
     """``target`` whose variables raise when computed if their totals differ from the source's.
 
-    Totals after are sums over each index of the other dimensions (one target grid) of the result
-    itself, which is therefore computed once; totals before are one more aggregation of the source.
+    Totals are sums over each index of the other dimensions, of all variables at once: one aggregation of the source,
+    one of the result itself, both with partial sums before their shuffle. They meet in a table with a row per index,
+    which the result is joined with. The two readers of the result share the exchange of its aggregation.
     """
-    rest = [d for d in dims if d not in (latitude_dim, longitude_dim)]
+    horizontal = (latitude_dim, longitude_dim)
+    rest = [d for d in dims if d not in horizontal]
     df = target.frames[dims]
-    columns = df.columns
-    df = with_area(df, target, latitude_dim, longitude_dim, "__area")
-    one = Window.partitionBy(*rest)
-    for name in (c for c in columns if c not in dims):
-        before = area_weighted_total(source, name, latitude_dim, longitude_dim, "__before")
-        value = F.coalesce(F.col(name).cast("double"), F.lit(0.0))
-        df = df.withColumn("__after", F.sum(value * F.col("__area")).over(one))
-        df = df.join(before, rest, "left") if rest else df.withColumn("__before", before.scalar())
-        total = F.coalesce("__before", F.lit(0.0))
-        change = F.abs(F.col("__after") - total) / F.greatest(F.abs(total), F.lit(_TINY))
+    names = [c for c in df.columns if c not in dims]
+    before = area_weighted_totals(source, dims, {n: f"__before_{n}" for n in names}, *horizontal)
+    after = area_weighted_totals(target, dims, {n: f"__after_{n}" for n in names}, *horizontal)
+    totals = _beside(after, before, rest)
+    checked = totals.select(*rest, *(_check(n, tolerance).alias(f"__change_{n}") for n in names))
+    joined = _beside(df, checked, rest)
+    for name in names:
         message = F.concat(
             F.lit(f"regrid: the total of {name!r} changed by "),
-            change.cast("string"),
+            F.col(f"__change_{name}").cast("string"),
             F.lit(f" (relative), more than the conservation_tolerance {tolerance:g}"),
         )
         failed = F.raise_error(message).cast(df.schema[name].dataType)
-        df = df.withColumn(name, F.when(change <= tolerance, F.col(name)).otherwise(failed)).drop("__before", "__after")
-    return target.with_frame(dims, df.select(*columns))
+        joined = joined.withColumn(name, F.when(F.col(f"__change_{name}").isNull(), F.col(name)).otherwise(failed))
+    return target.with_frame(dims, joined.select(*df.columns))
+
+
+def _beside(df: DataFrame, short: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with the columns of ``short`` by ``keys``; without keys ``short`` is one row of totals."""
+    if keys:
+        return df.join(short, keys, "left")
+    return df.withColumns({c: short.select(c).scalar() for c in short.columns})
+
+
+def _check(name: str, tolerance: float) -> Column:
+    """The relative change of a total if it is beyond the tolerance, else null."""
+    before, after = (F.coalesce(f"__{when}_{name}", F.lit(0.0)) for when in ("before", "after"))
+    change = F.abs(after - before) / F.greatest(F.abs(before), F.lit(_TINY))
+    return F.when(~(change <= tolerance), change)
 
 
 def grid_axes(cube: Cube, grid: Mapping[str, float], latitude_dim: str, longitude_dim: str) -> tuple[DataFrame, DataFrame]:

@@ -110,3 +110,44 @@ def test_an_empty_reference_period_is_an_error(series):
     assert climatology.reference_period(cube, "2020-02-26", "2020-03-03").frame("time", "point").count() == 18
     with pytest.raises(ValueError, match="no stamps"):
         climatology.reference_period(cube, "1990-01-01", "1991-01-01")
+
+
+@pytest.mark.parametrize(("size", "weighting"), [(15, "geometric"), (13, "constant"), (6, "constant"), (7, "gaussian")])
+def test_windows_longer_than_the_period(series, size, weighting):
+    values, cube = series
+    groups = climatology.compute_climatology(cube, 6, size, weighting)
+    mean, std = brute_force(values, np.arange(30) % 6, 6, size, weighting)
+    np.testing.assert_allclose(array_of(groups["climatology"], "x"), mean, rtol=1e-10)
+    np.testing.assert_allclose(array_of(groups["anomaly_std"], "x"), std, rtol=1e-8)
+
+
+@pytest.mark.parametrize(("size", "weighting"), [(4, "constant"), (3, "geometric")])
+def test_bins_without_a_row_hold_no_values(series, size, weighting):
+    _, cube = series
+    whole = climatology.bin_statistics(cube, "x", 6)
+    some = whole.where("bin NOT IN (0, 3) AND point < 2")
+    blank = some.unionByName(whole.where("bin IN (0, 3) AND point < 2").selectExpr("point", "bin", "0L n", "NULL mean", "0D m2"))
+    first, second = (
+        climatology.pooled(s, ["point"], 6, size, weighting).toPandas().sort_values(["point", "bin"]).reset_index(drop=True)
+        for s in (some, blank)
+    )
+    assert len(first) == 12
+    np.testing.assert_array_equal(first.to_numpy(float), second.to_numpy(float))
+
+
+def test_equal_values_have_no_spread(spark):
+    cube = cube_of(spark, ("time",), np.full(24, 0.1), {"time": days(24)}, "x")
+    for size, weighting in ((5, "constant"), (5, "gaussian")):
+        rows = climatology.pooled(climatology.bin_statistics(cube, "x", 6), [], 6, size, weighting).collect()
+        assert len(rows) == 6 and {r["anomaly_std"] for r in rows} == {0.0}
+
+
+@pytest.mark.parametrize("weighting", ["constant", "gaussian"])
+def test_windows_do_not_multiply_rows(spark, series, weighting):
+    """Bins are expanded once, from a cell's array; offsets never are, and no window function runs."""
+    _, cube = series
+    statistics = climatology.bin_statistics(cube, "x", 6)
+    stored = spark.createDataFrame(statistics.collect(), statistics.schema)
+    table = climatology.pooled(stored, ["point"], 6, 5, weighting)
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1 and "Generate posexplode" in plan and "Window" not in plan
