@@ -3,14 +3,13 @@
 Values are folded into the bins of a period, per cell: count, mean and sum of squared deviations
 (``n``, ``mean``, ``m2``), which merge, so that map tasks shuffle one row per cell and bin. The window
 then pools neighbouring bins, wrapping around the period. The statistics of a cell become one array,
-the ring of its bins (``period`` of them, whatever the length of the series), and the window merges the
-ring with itself, turned by each offset; rows are never multiplied by the window. Windows of equal
-weights are put together from spans of 1, 2, 4, ... bins.
+the ring of its bins (``period`` of them, whatever the length of the series), and a window of equal weights
+is put together from spans of 1, 2, 4, ... bins: the ring is merged with itself, turned. Unequal weights
+multiply the statistics by the window, within the partitioning by cell.
 
 With ``V1 = sum w n`` and ``V2 = sum w^2 n`` over a window, the climatology is ``c = sum w n mean / V1``
 and the variance ``sum w (n (mean - c)^2 + m2) / (V1 - V2 / V1)``: unbiased for reliability weights,
-missing when the denominator is not positive. Samples are merged by their means and squares around
-them, never from sums of squares.
+missing when the denominator is not positive. Squared deviations are taken from means, never from sums of squares.
 """
 
 from __future__ import annotations
@@ -21,6 +20,7 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gridspark.cube import Cube, Dims
 from gridspark.functions.times import day_of_year_bin, stamp
@@ -139,34 +139,50 @@ def pooled(
     weighting_scale: float | None = None,
 ) -> DataFrame:
     """``(cell dims, bin, climatology, anomaly_variance, anomaly_std)`` from bin statistics, one row per
-    cell and bin. With a window, every cell of the statistics gets all bins of the period; those whose window holds no
-    value are missing."""
+    cell and bin. Bins whose window holds no value are missing: as nulls, or, if the statistics have no row at all
+    in the window, without a row where weights are unequal."""
     cell = list(cell)
     offsets = window_of(window, weighting, weighting_scale)
     if len(offsets) == 1:  # a bin pools itself, row by row
         alone = _weighed(F.struct("n", "mean", "m2"), F.lit(offsets[0][1]))
         return _spread(statistics.select(*cell, BIN, alone.alias("s")), cell)
+    if len({w for _, w in offsets}) > 1:
+        return _by_rows(statistics, cell, period, offsets)
     rows = F.collect_list(F.struct(BIN, "n", "mean", "m2"))
     rings = (statistics.groupBy(*cell) if cell else statistics.groupBy()).agg(rows.alias("rows"))
-    if not cell:
-        rings = rings.where(F.size("rows") > 0)
-    rings = rings.select(*cell, _ring(F.col("rows"), period).alias("ring"))
-    if len({w for _, w in offsets}) == 1:
-        folded = _doubled(rings, cell, period, offsets)
-    else:
-        pairs = F.array(*(F.struct(F.lit(k % period).alias("k"), F.lit(w).alias("w")) for k, w in offsets))
-        nothing = F.transform("ring", lambda _: _weighed(F.struct(*_no_values()), F.lit(1.0)))
-        fold = F.aggregate(
-            pairs,
-            nothing,
-            lambda done, o: F.zip_with(
-                done, _turned(F.col("ring"), o["k"], period), lambda a, b: _merged(a, _weighed(b, o["w"]))
-            ),
-        )
-        folded = rings.select(*cell, fold.alias("ring"))
+    rings = rings.where(F.size("rows") > 0).select(*cell, _ring(F.col("rows"), period).alias("ring"))
+    folded = rings.select(*cell, _doubled(F.col("ring"), period, offsets).alias("ring"))
     return _spread(folded.select(*cell, F.posexplode("ring").alias(BIN, "s")), cell)
 
 
+def _by_rows(statistics: DataFrame, cell: list[str], period: int, offsets: list[tuple[int, float]]) -> DataFrame:
+    """Windows of unequal weights: each bin's statistics go to every bin whose window it lies in, within the
+    partitioning by cell. Compiled row by row this takes a quarter of the time of folding arrays by lambdas."""
+    by_cell = statistics.repartition(*cell) if cell else statistics
+    pairs = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(w).alias("w")) for k, w in offsets))
+    spread = by_cell.select("*", F.explode(pairs).alias("o")).select(
+        *cell,
+        F.pmod(F.col(BIN) - F.col("o.k"), F.lit(period)).cast("int").alias(BIN),
+        F.col("o.w").alias("w"),
+        "n",
+        "mean",
+        "m2",
+    )
+    one = Window.partitionBy(*cell, BIN)
+    n, w = F.col("n"), F.col("w")
+    centred = spread.withColumns(
+        {"V1": F.sum(w * n).over(one), "S": F.sum(F.when(n > 0, w * n * F.col("mean"))).over(one)}
+    ).withColumn("c", F.when(F.col("V1") > 0, F.col("S") / F.col("V1")))
+    deviation = F.col("mean") - F.col("c")
+    squares = F.when(n > 0, w * (deviation * deviation * n + F.col("m2")))
+    sums = centred.groupBy(*cell, BIN).agg(
+        F.struct(
+            F.max("V1").alias("v1"), F.sum(w * w * n).alias("v2"), F.max("c").alias("mean"), F.sum(squares).alias("q")
+        ).alias("s")
+    )
+    return _spread(sums, cell)
+
+
 def _no_values() -> list[Column]:
     """A bin without values, as statistics."""
     return [F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2")]
@@ -210,24 +226,26 @@ def _merged(a: Column, b: Column) -> Column:
     )
 
 
-def _doubled(rings: DataFrame, cell: list[str], period: int, offsets: list[tuple[int, float]]) -> DataFrame:
+def _doubled(ring: Column, period: int, offsets: list[tuple[int, float]]) -> Column:
     """Windows of equal weights: spans of 1, 2, 4, ... bins, each from two of half the length, and the
     window put together from the spans in its size. The steps grow with the logarithm of the window."""
     first, weight = offsets[0]
-    one = F.transform("ring", lambda b: _weighed(b, F.lit(weight)))
-    table = rings.select(*cell, one.alias("span"), F.lit(None).alias("ring"))
-    taken, length, have = 0, 1, False
-    while length <= len(offsets):
-        if len(offsets) & length:
-            piece = _turned(F.col("span"), F.lit((first + taken) % period), period)
-            whole = F.zip_with("ring", piece, _merged) if have else piece
-            table = table.select(*cell, "span", whole.alias("ring"))
-            taken, have = taken + length, True
-        length *= 2
-        if length <= len(offsets):
-            twice = F.zip_with("span", _turned(F.col("span"), F.lit(length // 2 % period), period), _merged)
-            table = table.select(*cell, twice.alias("span"), "ring")
-    return table.select(*cell, "ring")
+    steps, taken = [], 0
+    for bit in range(len(offsets).bit_length()):
+        has = bool(len(offsets) >> bit & 1)
+        at, on = (first + taken) % period, (1 << bit) % period
+        steps.append(F.struct(F.lit(has).alias("has"), F.lit(at).alias("at"), F.lit(on).alias("on")))
+        taken += has << bit
+    nothing = F.transform(ring, lambda _: _weighed(F.struct(*_no_values()), F.lit(1.0)))
+    state = F.struct(F.transform(ring, lambda b: _weighed(b, F.lit(weight))).alias("span"), nothing.alias("whole"))
+
+    def further(done: Column, o: Column) -> Column:
+        span, whole = done["span"], done["whole"]
+        longer = F.zip_with(span, _turned(span, o["on"], period), _merged)
+        more = F.zip_with(whole, _turned(span, o["at"], period), _merged)
+        return F.struct(longer.alias("span"), F.when(o["has"], more).otherwise(whole).alias("whole"))
+
+    return F.aggregate(F.array(*steps), state, further, lambda done: done["whole"])
 
 
 def _spread(table: DataFrame, cell: list[str]) -> DataFrame:
