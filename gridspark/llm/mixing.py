@@ -2,8 +2,8 @@
 
 The sizes of a source are summed once (partial sums before the shuffle, so a hot source costs nothing more). Its target
 follows from all sources' sums: weights are shared out until every target is within its stop. A document is then taken
-``floor(rate)`` times, and once more if a number drawn from its id and the seed lies below the rest of the rate. No
-document needs another, so reruns agree and lost tasks are repeated alike.
+``floor(rate)`` times, and once more if a number drawn from its id, its text and the seed lies below the rest of the
+rate. No document needs another, so reruns agree and lost tasks are repeated alike.
 """
 
 from __future__ import annotations
@@ -53,9 +53,10 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), shar
     )
 
 
-def drawn(key: Column, seed: int) -> Column:
-    """A number from 0 up to 1 drawn from a key and a seed: the first 52 bits of their MD5."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), id_text(key)).cast("binary"))
+def drawn(key: Column, text: Column, seed: int) -> Column:
+    """A number from 0 up to 1 drawn from a key, a text and a seed: the first 52 bits of their MD5. Null counts as empty."""
+    of_text = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), id_text(key), F.lit(":"), of_text).cast("binary"))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
@@ -85,13 +86,14 @@ def plan_mix(
     """``docs`` (doc_id, text, source and any other columns) with how often the mix takes each.
 
     Adds ``size`` (words, 0 for null), ``source_size``, ``target`` and ``copies``; columns of these names are replaced.
-    Rows are kept as they are: equal rows are drawn alike, a null id draws like an empty one, an empty table gives none.
+    Rows are kept as they are: rows of one id, or without one, are drawn apart by their texts; only rows equal in both are
+    drawn alike. A null id or text draws like an empty one, an empty table gives none.
     """
     sized = docs.drop("size", "source_size", "target", "copies").withColumn("size", words_in(F.col("text")))
     sources = written(targets(sized.select("source", "size"), weights, share, stop), "sources")
     rated = with_sources(sized, sources.withColumnRenamed("rate", "__rate"))
     whole = F.floor("__rate")
-    extra = F.when(drawn(F.col("doc_id"), seed) < F.col("__rate") - whole, 1).otherwise(0)
+    extra = F.when(drawn(F.col("doc_id"), F.col("text"), seed) < F.col("__rate") - whole, 1).otherwise(0)
     return rated.withColumn("copies", (whole + extra).cast("long")).drop("__rate")
 
 
@@ -119,7 +121,7 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP3_SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+  SELECT doc_id, source, md5(coalesce(text, '')) AS of_text, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
 ),
 sums AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 weighed AS (
@@ -135,10 +137,10 @@ levels AS (
 ),
 rates AS (SELECT source, source_size, least(stop, max(level) OVER () * weight)::DOUBLE AS target FROM levels)
 SELECT doc_id, size, source_size, target,
-  (size * (floor(rate) + CASE WHEN ('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT
+  (size * (floor(rate) + CASE WHEN ('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '') || ':' || of_text), 1, 13))::BIGINT
     / 4503599627370496.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM (
-  SELECT s.doc_id, s.size, r.source_size, r.target,
+  SELECT s.doc_id, s.size, s.of_text, r.source_size, r.target,
     CASE WHEN r.source_size > 0 THEN r.target / r.source_size ELSE 0.0 END::DOUBLE AS rate
   FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source
 )

@@ -167,8 +167,11 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        draws, done = batch.column("draw"), 0
         for chunk in chunks(batch.column("text")):
-            yield pa.RecordBatch.from_arrays([pa.array(features(chunk).tolist(), pa.list_(pa.float32()))], ["x"])
+            x = pa.array(features(chunk).tolist(), pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([draws.slice(done, len(x)), x], ["draw", "x"])
+            done += len(x)
 
 
 def _scores(model: Model, texts: pa.Array) -> np.ndarray:
@@ -193,17 +196,23 @@ def _keeper(sent, least: float):
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """A model from the rows of ``docs`` (doc_id, text) outside the held-out third and their marks in ``labels``."""
+    """A model from the rows of ``docs`` (doc_id, text) outside the held-out third and their marks in ``labels``.
+
+    At most ``POSITIVES`` and ``UNLABELLED`` rows are fitted on, drawn by the hash of id and text; what reaches the driver
+    is their features. An id with contradictory marks counts as good; null marks are none; without marks the prior is a half.
+    """
     marks = labels.filter(F.col("quality").isNotNull() & (crc_of_id(F.col("doc_id")) % 3 != 1))
     marks = marks.groupBy(F.col("doc_id").alias("__id")).agg(F.max("quality").alias("__quality"))
     good, marked = marks.agg(F.sum(F.when(F.col("__quality") == 1, 1).otherwise(0)), F.count(F.lit(1))).first()
     prior = (good or 0) / marked if marked else 0.5
     rows = docs.select("doc_id", "text").filter(crc_of_id(F.col("doc_id")) % 3 != 1)
-    drawn = F.pmod(F.xxhash64(id_text(F.col("doc_id"))), F.lit(1_000_000)) / F.lit(1e6)
+    drawn = F.pmod(F.xxhash64(id_text(F.col("doc_id")), F.coalesce("text", F.lit(""))), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
     def sample(picked: DataFrame, of: int, most: int) -> np.ndarray:
-        share = min(1.0, most / max(of, 1))
-        got = picked.filter(drawn < share).select("text").mapInArrow(_described, "x array<float>").toPandas()["x"]
+        share = min(1.0, 1.1 * most / max(of, 1))
+        found = picked.select("text", drawn.alias("draw")).filter(F.col("draw") < share)
+        found = found.mapInArrow(_described, "draw double, x array<float>")
+        got = found.orderBy("draw").limit(most).toPandas()["x"]
         return np.stack(got.to_numpy()) if len(got) else np.zeros((0, FEATURES), np.float32)
 
     trusted = rows.join(marks.filter("__quality = 1"), F.col("doc_id") == F.col("__id"), "left_semi")

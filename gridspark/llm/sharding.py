@@ -22,7 +22,7 @@ _MULTIPLIER = 2862933555777941757
 _HIGH, _LOW = _MULTIPLIER >> 32, _MULTIPLIER & 0xFFFFFFFF
 _32 = 0xFFFFFFFF
 
-#: Leading hexadecimal digits of the id's MD5 by which rows of a shard are numbered piece by piece.
+#: Leading hexadecimal digits of the MD5 of id and ties by which rows of a shard are numbered piece by piece.
 PIECE_DIGITS = 3
 
 
@@ -97,12 +97,15 @@ def assign_shards(df: DataFrame, shards: int, key: str = "doc_id") -> DataFrame:
 
 
 def number_slots(sharded: DataFrame, key: str = "doc_id", ties: tuple[str, ...] = ()) -> DataFrame:
-    """``slot``: positions from 0 without a gap within each shard, by the MD5 of the key.
+    """``slot``: positions from 0 without a gap within each shard, by the MD5 of the key and the columns ``ties``.
 
     A shard is numbered in pieces by the first digits of the MD5: the counts of the pieces before (at most 16 to the
-    power of ``PIECE_DIGITS`` of them in a shard) plus the position within the piece. No task needs a whole shard.
+    power of ``PIECE_DIGITS`` of them in a shard) plus the position within the piece. No task needs a whole shard; rows
+    that share a key, or have none, are spread over the pieces by their ties, so these should tell them apart. Nulls in key
+    and ties count as empty here. Rows equal in all of them are numbered in any order; an empty table gives none.
     """
-    rows = sharded.withColumn("__order", F.md5(id_text(F.col(key)).cast("binary"))).withColumn(
+    parts = [id_text(F.col(c)) for c in (key, *ties)]
+    rows = sharded.withColumn("__order", F.md5(F.concat_ws(":", *parts).cast("binary"))).withColumn(
         "__piece", F.substring("__order", 1, PIECE_DIGITS)
     )
     before = Window.partitionBy("shard").orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
@@ -163,7 +166,8 @@ jumps AS (
 ),
 ends AS (SELECT row, max(b) AS shard, CASE WHEN max(j) = 40 THEN 40 ELSE max(b) END AS grown FROM jumps GROUP BY row)
 SELECT c.doc_id, (c.n + 16)::BIGINT AS size, c.text_crc32::BIGINT AS text_crc32, 'key' AS law, e.shard::INT AS shard,
-  (row_number() OVER (PARTITION BY e.shard ORDER BY md5(coalesce(c.doc_id::VARCHAR, '')), c.doc_id, c.n, c.text_crc32) - 1)::BIGINT AS slot,
+  (row_number() OVER (PARTITION BY e.shard ORDER BY
+    md5(coalesce(c.doc_id::VARCHAR, '') || ':' || (c.n + 16) || ':' || c.text_crc32), c.doc_id, c.n, c.text_crc32) - 1)::BIGINT AS slot,
   e.grown::INT AS grown_shard
 FROM checks c JOIN ends e USING (row)
 """

@@ -146,3 +146,27 @@ def test_crc_of_ids(messy):
 
     for r in messy.select("doc_id", crc_of_id(messy["doc_id"]).alias("c")).collect():
         assert r["c"] == zlib.crc32(b"" if r["doc_id"] is None else str(r["doc_id"]).encode())
+
+
+def test_rows_of_one_id_are_dealt_out_by_their_texts(spark):
+    """Many rows without an id: no piece of a shard holds most of them, and the mix draws them one by one."""
+    rows = spark.range(4000).selectExpr("CAST(NULL AS LONG) doc_id", "concat('word number ', id) text", "IF(id < 3000, 'a', 'b') source")
+    numbered = sharding.number_slots(sharding.assign_shards(rows, 5), ties=("text",)).collect()
+    assert len({r["shard"] for r in numbered}) == 1 and sorted(r["slot"] for r in numbered) == list(range(4000))
+    first = {r["text"]: r["slot"] for r in numbered}
+    again = sharding.number_slots(sharding.assign_shards(rows.repartition(7), 5), ties=("text",)).collect()
+    assert {r["text"]: r["slot"] for r in again} == first
+    planned = mixing.plan_mix(rows, weights=(1.0,), share=1.5).groupBy("source", "target").agg({"copies": "sum"}).collect()
+    assert all(abs(3 * r["sum(copies)"] - r["target"]) < 0.1 * r["target"] for r in planned)
+
+
+def test_quality_sample_is_bounded(spark, monkeypatch):
+    """Rows that share one id do not come to the driver beyond the bound."""
+    monkeypatch.setattr(quality, "POSITIVES", 40)
+    monkeypatch.setattr(quality, "UNLABELLED", 60)
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda p, u, prior: seen.append((len(p), len(u), prior)))
+    docs = spark.range(1000).selectExpr("IF(id % 3 = 0, 1, id) doc_id", "concat('text ', id) text")
+    labels = spark.range(1000).selectExpr("id doc_id", "CAST(id % 2 AS INT) quality")
+    quality.train(docs, labels)
+    assert seen[0][0] <= 40 and 30 <= seen[0][1] <= 60 and 0 < seen[0][2] < 1
