@@ -42,7 +42,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def in_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``shard``, ``slot`` and ``grown_shard`` for every row; repeats of a document share its shard."""
-    return sharding.number_slots(sharding.assign_shards(docs, SHARDS))
+    return sharding.number_slots(sharding.assign_shards(docs, SHARDS), ties=("text",))
 
 
 STAGES: list[tuple[str, Stage]] = [
