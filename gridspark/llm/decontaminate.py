@@ -5,19 +5,22 @@ seed even where an ignored word was substituted. All seeds of the benchmark go t
 up there, and every hit is verified along its diagonal: the words of text and item are compared one to one, and each
 window of ``WINDOW`` words (or the whole item, if that is shorter) in which at most a fifth is substituted is an overlap.
 The masks are chosen so that no such overlap is without a hit. Only texts' own rows are read, once for each block of the
-benchmark; a block has a bounded number of words, so what a task is sent doesn't grow.
+benchmark. Items of equal text are looked for once, long ones in pieces that share ``WINDOW - 1`` words, so that every
+window lies in one piece; a block therefore has a bounded number of words, however long or often repeated items are, and
+what a task is sent doesn't grow.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm.shared import table, words_in
+from gridspark.llm.shared import WORD, table
 from gridspark.llm.words import Chunk, chunks, mixed, run_hashes, word_hashes
 
 #: Any 13 aligned words with up to two substitutions (12 to 10: two; 9 and 8: one) agree under one of these.
@@ -25,10 +28,13 @@ MASKS = ("11111", "111011", "11010011")
 WINDOW = 13
 #: Items with fewer words are looked for as they are.
 SHORT = 8
-#: Words of the benchmark that a task gets at once (some 100 bytes each, with their seeds).
+#: Words of the benchmark that a task gets at once, in the mean (some 100 bytes each, with their seeds).
 BLOCK_WORDS = 300_000
+#: Words of a piece of an item; blocks are even as pieces are much shorter.
+PIECE_WORDS = 20_000
 
-_FOUND = "doc_id long, item_id long, start long, matched long, n_windows long"
+#: ``doc`` and ``item`` name texts by a digest.
+_FOUND = "doc_id long, doc binary, item string, piece int, start long, matched long, n_windows long"
 
 
 def _masked(hashes: np.ndarray, mask: str) -> np.ndarray:
@@ -50,10 +56,10 @@ def _inside(first: np.ndarray, length: int, n: int) -> np.ndarray:
 
 
 class Seeds:
-    """The words and seeds of some items."""
+    """The words and seeds of some items, or pieces of them, each with a name."""
 
-    def __init__(self, ids: list[int | None], texts: list[str | None]):
-        self.ids = ids
+    def __init__(self, names: list[tuple[str, int]], texts: list[str]):
+        self.names = names
         self.words: list[np.ndarray] = []
         for chunk in chunks(pa.array(texts, pa.string()), lower=True, most=1 << 62):
             hashes = word_hashes(chunk)
@@ -116,37 +122,53 @@ class Seeds:
                     yield chunk.at + text, item, a + at - int(chunk.first[text]), int(agree[at])
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[tuple[list[int | None], list[str]]]:
-    """The items in blocks of about ``BLOCK_WORDS`` words, each of which the driver reads and sends out."""
-    sized = benchmark.select("item_id", "text", words_in(F.col("text")).alias("__words"))
-    total, longest = sized.agg(F.sum("__words"), F.max("__words")).first()
-    blocks = -(-(total or 0) // BLOCK_WORDS)
-    if longest and longest > 10 * BLOCK_WORDS:
-        raise ValueError(f"an item of {longest} words is too long to be sent to tasks")
-    dealt = sized.filter(F.col("__words") > 0).withColumn(
-        "__block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(blocks, 1)))
+def _named(text: Column) -> Column:
+    """The name of an item's text."""
+    return F.md5(text.cast("binary"))
+
+
+def _pieces(benchmark: DataFrame) -> DataFrame:
+    """``(item, piece, n, text)``: the different texts with words, in pieces of at most ``PIECE_WORDS`` words."""
+    step = PIECE_WORDS - (WINDOW - 1)
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    texts = benchmark.select("text").where(F.col("text").isNotNull()).distinct()
+    split = texts.select(_named(F.col("text")).alias("item"), words.alias("words")).where(F.size("words") > 0)
+    # The last piece starts where a window can still start.
+    last = F.greatest(F.floor((F.size("words") - WINDOW) / step), F.lit(0)).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice("words", k * step + 1, PIECE_WORDS))
+    return split.select("item", F.posexplode(cut).alias("piece", "part")).select(
+        "item", "piece", F.size("part").alias("n"), F.array_join("part", " ").alias("text")
     )
+
+
+def _blocks(benchmark: DataFrame) -> Iterator[tuple[list[tuple[str, int]], list[str]]]:
+    """The pieces in blocks of about ``BLOCK_WORDS`` words, each of which the driver reads and sends out."""
+    pieces = _pieces(benchmark)
+    blocks = -(-(pieces.agg(F.sum("n")).first()[0] or 0) // BLOCK_WORDS)
+    dealt = pieces.withColumn("block", F.pmod(F.xxhash64("item", "piece"), F.lit(max(blocks, 1))))
     for block in range(blocks):
-        rows = dealt.filter(F.col("__block") == block).select("item_id", "text").collect()
+        rows = dealt.where(F.col("block") == block).select("item", "piece", "text").collect()
         if rows:
-            yield [r[0] for r in rows], [r[1] for r in rows]
+            yield [(r["item"], r["piece"]) for r in rows], [r["text"] for r in rows]
 
 
 def _finder(sent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = Seeds(*sent.value)
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
+            ids, texts = batch.column("doc_id"), batch.column("text")
             best: dict[tuple[int, int], list[int]] = {}
-            for text, item, start, agree in seeds.overlaps(batch.column("text")):
+            for text, item, start, agree in seeds.overlaps(texts):
                 seen = best.setdefault((text, item), [start, 0, 0])
                 seen[0] = min(seen[0], start)
                 seen[1] = max(seen[1], agree)
                 seen[2] += 1
-            rows = [(ids[t], seeds.ids[i], *v) for (t, i), v in best.items()]
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            names = ["doc_id", "item_id", "start", "matched", "n_windows"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+            digests = {t: hashlib.md5(texts[t].as_buffer()).digest() for t in {t for t, _ in best}}
+            rows = [(ids[t].as_py(), digests[t], *seeds.names[i], *v) for (t, i), v in best.items()]
+            columns = list(zip(*rows, strict=True)) or [[]] * 7
+            kinds = [pa.int64(), pa.binary(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+            names = ["doc_id", "doc", "item", "piece", "start", "matched", "n_windows"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     return find
 
@@ -173,11 +195,25 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    out = spark.createDataFrame([], _FOUND)
+    found = spark.createDataFrame([], _FOUND)
     for block in _blocks(benchmark):
         sent = spark.sparkContext.broadcast(block)
-        out = out.union(rows.mapInArrow(_finder(sent), _FOUND))
-    return out
+        found = found.union(rows.mapInArrow(_finder(sent), _FOUND))
+    # Rows equal in id and text have equal findings in every piece; they are counted, put together and told apart again.
+    values = [F.first(c).alias(c) for c in ("start", "matched", "n_windows")]
+    pieces = found.groupBy("doc_id", "doc", "item", "piece").agg(F.count(F.lit(1)).cast("int").alias("rows"), *values)
+    whole = pieces.groupBy("doc_id", "doc", "item").agg(
+        F.min("start").alias("start"),
+        F.max("matched").alias("matched"),
+        F.sum("n_windows").alias("n_windows"),
+        F.first("rows").alias("rows"),
+    )
+    items = benchmark.select(F.col("item_id").cast("long"), _named(F.col("text")).alias("item"))
+    return (
+        whole.join(items, "item")
+        .withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows"))))
+        .select("doc_id", "item_id", "start", "matched", "n_windows")
+    )
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

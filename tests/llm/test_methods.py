@@ -153,7 +153,10 @@ def test_estimate_of_similarity():
     assert minhash.agreeing(packed[0], packed[:1])[0] == minhash.MINIMA
 
 
-def test_contaminations(spark):
+@pytest.mark.parametrize(("piece", "block"), [(20_000, 300_000), (20, 60)])
+def test_contaminations(spark, monkeypatch, piece, block):
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", piece)
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
     rng = random.Random(6)
     items = {i: [f"b{rng.randrange(2000)}" for _ in range(n)] for i, n in enumerate([5, 7, 8, 9, 11, 13, 14, 30, 60, 1])}
     rows = []
@@ -191,6 +194,18 @@ def test_contaminations(spark):
     assert left == {i for i, _ in rows} - {i for i, _ in expected}
 
 
+def test_contaminations_of_repeated_rows_and_items(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 20)
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 100)
+    text = " ".join(f"w{k}" for k in range(120))
+    docs = spark.createDataFrame([(1, text), (1, text), (None, text), (2, text[:300]), (3, "else")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, text), (7, text), (8, text), (None, text), (9, None)], "item_id long, text string")
+    rows = [tuple(r) for r in decontaminate.contaminations(docs, bench).where("doc_id is null or doc_id = 1").collect()]
+    expected = [(d, i, 0, 13, 108) for d in (1, 1, None) for i in (7, 7, 8, None)]
+    assert sorted(rows, key=str) == sorted(expected, key=str)
+    assert [r["doc_id"] for r in decontaminate.decontaminated(docs, bench).collect()] == [3]
+
+
 def test_contaminations_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 20)
     items = [(i, " ".join(f"b{i}x{k}" for k in range(15))) for i in range(10)]
