@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 
 from gridspark.cube import Cube, Dims
 from gridspark.operators.cells import area_weighted_total, area_weighted_totals, edges
-from gridspark.plans.axes import spine
+from gridspark.plans.axes import by_value, spine
 from gridspark.plans.sizing import local_copy
 from gridspark.plans.steps import step
 
@@ -121,75 +121,76 @@ def overlap_weights(cube: Cube, target: TargetAxis) -> DataFrame:
     return overlapping.select("k", dim, weight.alias("w"), inside.alias("inside"))
 
 
-def _sorted_labels(cube: Cube, dim: str) -> Column:
-    return cube.axis(dim).agg(F.sort_array(F.collect_list(F.col(dim)))).scalar()
+def _gaps(cube: Cube, target: TargetAxis, around: Sequence[int] = (0, 1)) -> DataFrame:
+    """``(k, c, x2, x3, p2, p3)``: per target index its centre, the source labels on both sides of it in the order of
+    their values (``x2`` is the last one not above the centre, ``x3`` the next) and the positions of these two.
+    With ``around`` from -2 to 2 also the labels before and after them, ``x0``, ``x1`` and ``x4``.
 
+    A gap between two labels knows by arithmetic which centres lie in it; labels meet their neighbours by
+    aggregating on the place among them, so that no task or row ever holds the axis.
+    """
+    dim = target.dim
+    placed = by_value(cube.axis(dim), dim).select(F.col("place").alias("idx"), F.col("idx").alias("p"), F.col(dim).cast("double"))
+    near = [
+        F.struct((F.col("idx") - by).alias("at"), F.lit(by).alias("by"), F.col(dim).alias("x"), F.col("p"))
+        for by in around
+    ]
+    labels = [F.max(F.when(F.col("by") == by, F.col("x"))).alias(f"x{by + 2}") for by in around]
+    positions = [F.max(F.when(F.col("by") == by, F.col("p"))).alias(f"p{by + 2}") for by in (0, 1)]
+    gaps = placed.select(F.inline(F.array(*near))).groupBy("at").agg(*labels, *positions)
+
+    def place(x: str) -> Column:
+        return (F.col(x) - target.start) / target.resolution
+
+    first = F.greatest(F.coalesce(F.floor(place("x2")) - 1, F.lit(0)), F.lit(0))
+    last = F.least(F.coalesce(F.ceil(place("x3")) + 1, F.lit(target.size - 1)), F.lit(target.size - 1))
+    met = gaps.where(F.coalesce("x2", "x3").isNotNull() & (first <= last))
+    centred = met.withColumn("k", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+    centred = centred.withColumn("c", target.centre(F.col("k")))
+    return centred.where("(x2 IS NULL OR x2 <= c) AND (x3 IS NULL OR c < x3)").drop("at")
 
-def _targets(cube: Cube, target: TargetAxis) -> DataFrame:
-    """``(k, c, x)``: per target index its centre and the sorted source labels."""
-    spark = cube.axis(target.dim).sparkSession
-    k = F.col("id").cast("int")
-    return spark.range(target.size).select(
-        k.alias("k"), target.centre(k).alias("c"), _sorted_labels(cube, target.dim).alias("x")
-    )
+
+_INSIDE = "x2 IS NOT NULL AND (x3 IS NOT NULL OR x2 = c)"
 
 
 def nearest_weights(cube: Cube, target: TargetAxis) -> DataFrame:
     """The nearest source label of each target index; ties go to the lower position."""
-    dim = target.dim
-    points = cube.axis(dim).agg(F.collect_list(F.struct("idx", dim))).scalar()
-    spark = cube.axis(dim).sparkSession
-    k = F.col("id").cast("int")
-    table = spark.range(target.size).select(k.alias("k"), target.centre(k).alias("c"), points.alias("p"))
-    ranked = F.transform(
-        "p", lambda p: F.struct(F.abs(p[dim].cast("double") - F.col("c")).alias("d"), p["idx"], p[dim])
-    )
-    centres = F.transform("p", lambda p: p[dim].cast("double"))
-    inside = F.col("c").between(F.array_min(centres), F.array_max(centres))
-    return table.select("k", F.array_min(ranked)[dim].alias(dim), F.lit(1.0).alias("w"), inside.alias("inside"))
+    low = F.expr("x3 IS NULL OR c - x2 < x3 - c OR (c - x2 = x3 - c AND p2 < p3)")
+    label = F.when(F.col("x2").isNotNull() & low, F.col("x2")).otherwise(F.col("x3"))
+    return _gaps(cube, target).select("k", label.alias(target.dim), F.lit(1.0).alias("w"), F.expr(_INSIDE).alias("inside"))
 
 
 def linear_weights(cube: Cube, target: TargetAxis) -> DataFrame:
     """The source labels on both sides of each target centre; none of weight 0."""
     dim = target.dim
-    below = F.array_max(F.filter("x", lambda x: x <= F.col("c")))
-    above = F.array_min(F.filter("x", lambda x: x >= F.col("c")))
-    table = _targets(cube, target).select("k", "c", below.alias("a"), above.alias("b"))
-    share = F.when(F.col("a") == F.col("b"), F.lit(0.0)).otherwise(
-        (F.col("c") - F.col("a")) / (F.col("b") - F.col("a"))
-    )
+    share = F.when(F.col("c") == F.col("x2"), F.lit(0.0)).otherwise(F.expr("(c - x2) / (x3 - x2)"))
     pair = F.array(
-        F.struct(F.col("a").alias(dim), (1 - share).alias("w")), F.struct(F.col("b").alias(dim), share.alias("w"))
+        F.struct(F.col("x2").alias(dim), (1 - share).alias("w")), F.struct(F.col("x3").alias(dim), share.alias("w"))
     )
-    return table.where(F.col("a").isNotNull() & F.col("b").isNotNull()).select(
-        "k", F.inline(F.filter(pair, lambda p: p["w"] > 0))
-    ).withColumn("inside", F.lit(True))
+    table = _gaps(cube, target).where(_INSIDE)
+    return table.select("k", F.inline(F.filter(pair, lambda p: p["w"] > 0))).withColumn("inside", F.lit(True))
 
 
 def cubic_weights(cube: Cube, target: TargetAxis) -> DataFrame:
-    """Keys' four-point weights (a = -0.5), positions clamped to the axis; none of weight 0."""
+    """Keys' four-point weights (a = -0.5), positions clamped to the axis; none of weight 0. Centres from the last
+    label on are described by the last two labels."""
     dim = target.dim
-    n = F.size("x")
-    j = F.least(F.size(F.filter("x", lambda x: x <= F.col("c"))) - 1, n - 2)
-    table = _targets(cube, target).withColumn("j", j).where((F.col("j") >= 0) & (n >= 2))
-    left, right = F.get("x", F.col("j")), F.get("x", F.col("j") + 1)
-    t = (F.col("c") - left) / (right - left)
-    table = table.withColumn("t", t)
+    over = F.col("x3").isNull()
+    left, right = F.when(over, F.col("x1")).otherwise(F.col("x2")), F.when(over, F.col("x2")).otherwise(F.col("x3"))
+    before = F.coalesce(F.when(over, F.col("x0")).otherwise(F.col("x1")), left)
+    after = F.coalesce(F.when(~over, F.col("x4")), right)
+    table = _gaps(cube, target, range(-2, 3)).where(left.isNotNull() & right.isNotNull())
+    table = table.withColumn("t", (F.col("c") - left) / (right - left))
     t = F.col("t")
     four = (
-        (-1, -0.5 * t + t * t - 0.5 * t * t * t),
-        (0, 1 - 2.5 * t * t + 1.5 * t * t * t),
-        (1, 0.5 * t + 2 * t * t - 1.5 * t * t * t),
-        (2, -0.5 * t * t + 0.5 * t * t * t),
+        (before, -0.5 * t + t * t - 0.5 * t * t * t),
+        (left, 1 - 2.5 * t * t + 1.5 * t * t * t),
+        (right, 0.5 * t + 2 * t * t - 1.5 * t * t * t),
+        (after, -0.5 * t * t + 0.5 * t * t * t),
     )
-    points = [
-        F.struct(
-            F.get("x", F.least(F.greatest(F.col("j") + by, F.lit(0)), n - 1)).alias(dim), value.alias("w")
-        )
-        for by, value in four
-    ]
+    points = F.array(*(F.struct(label.alias(dim), value.alias("w")) for label, value in four))
     return (
-        table.select("k", F.col("c").between(F.array_min("x"), F.array_max("x")).alias("inside"), F.inline(F.array(*points)))
+        table.select("k", F.expr(_INSIDE).alias("inside"), F.inline(points))
         .groupBy("k", dim)
         .agg(F.sum("w").alias("w"), F.first("inside").alias("inside"))
         .where(F.abs("w") > 1e-14)

@@ -55,6 +55,16 @@ def _ranked(labels: DataFrame, dim: str, descending: bool) -> DataFrame:
     return placed.join(F.broadcast(starts), "part").select((F.col("start") + inside).cast("int").alias("idx"), dim)
 
 
+def by_value(axis: DataFrame, dim: str) -> DataFrame:
+    """``axis`` with each label's ``place`` in the order of values, which for a turned or picked axis is not its position.
+    Up to ``LOCAL_ROWS`` labels are ranked as one small relation, longer axes over all tasks."""
+    rows = axis.select("idx", dim)
+    local = local_copy(rows)
+    if local is rows:
+        return rows.join(_ranked(rows.select(dim), dim, False).withColumnRenamed("idx", "place"), dim)
+    return local.withColumn("place", F.row_number().over(Window.orderBy(dim)) - 1)
+
+
 def shifted(axis: DataFrame, dim: str, by: int, name: str) -> DataFrame:
     """``axis`` with the label ``by`` positions further as ``name`` (NULL past the end): an equi-join
     on the position, so that no task ever holds the whole axis."""
@@ -77,4 +87,4 @@ def spine(axes: Iterable[tuple[str, DataFrame]]) -> DataFrame:
     return out
 
 
-__all__ = ["LOCAL_ROWS", "axis_from", "axis_of", "labels_array", "shifted", "spine"]
+__all__ = ["LOCAL_ROWS", "axis_from", "axis_of", "by_value", "labels_array", "shifted", "spine"]

@@ -129,6 +129,47 @@ def test_interpolations(spark):
     np.testing.assert_allclose(nearest, (2 * lat + 3 * lon)[0::2, 0::2][:4, :4])
 
 
+@pytest.mark.parametrize("order", ["up", "down", "shuffled"])
+def test_neighbours_on_axes_in_any_order(spark, order):
+    rng = np.random.default_rng(4)
+    x = np.unique(np.concatenate([rng.uniform(-3, 3, 30).round(3), [-1.0, 0.0, 0.5]]))
+    y = np.sin(x)
+    by = {"up": np.arange(x.size), "down": np.arange(x.size)[::-1], "shuffled": rng.permutation(x.size)}[order]
+    line = cube_of(spark, ("lat",), y[by], {"lat": x[by]}, "v")
+    c = np.arange(-4, 4.01, 0.25)
+    grid = {**GRID, "south": -4.0, "north": 4.0, "resolution_lat": 0.25}
+    inside = (c >= x[0]) & (c <= x[-1])
+
+    def got(method):
+        rows = regrid.regrid(line, grid, method=method, **WHERE).frame_of("v").where("v is not null").orderBy("lat").collect()
+        assert [r["lat"] for r in rows] == c.tolist()
+        return [r["v"] for r in rows]
+
+    c = c[inside]
+    np.testing.assert_allclose(got("linear"), np.interp(c, x, y), atol=1e-12)
+    position = np.empty(x.size)
+    position[by] = np.arange(x.size)
+    near = [min(range(x.size), key=lambda i: (abs(x[i] - v), position[i])) for v in c]
+    np.testing.assert_allclose(got("nearest"), y[near], atol=1e-12)
+    j = np.minimum(np.searchsorted(x, c, side="right") - 1, x.size - 2)
+    t = (c - x[j]) / (x[j + 1] - x[j])
+    p = [y[np.clip(j + k, 0, x.size - 1)] for k in (-1, 0, 1, 2)]
+    keys = p[1] + t * ((p[2] - p[0]) / 2 + t * (p[0] - 2.5 * p[1] + 2 * p[2] - p[3] / 2 + t * (1.5 * (p[1] - p[2]) + (p[3] - p[0]) / 2)))
+    np.testing.assert_allclose(got("cubic"), keys, atol=1e-12)
+
+
+def test_a_long_axis_is_never_an_array(spark):
+    step, n = 2.0**-13, 1_000_000
+    line = spark.range(n).select((F.col("id") * step - 60).alias("lat"), (F.col("id") * 2.0).alias("v"))
+    cube = Cube({("lat",): line}, {}).with_axes("lat")
+    target = regrid.target_grid({**GRID, "south": -59.75, "north": 59.75, "resolution_lat": 0.5}, "lat", "lon")[0]
+    for weights in (regrid.nearest_weights, regrid.linear_weights, regrid.cubic_weights):
+        table = weights(cube, target)
+        assert "collect" not in table._jdf.queryExecution().optimizedPlan().toString()
+        rows = sorted((r["k"], r["lat"], r["w"], r["inside"]) for r in table.collect())
+        assert rows == [(k, -59.75 + k / 2, 1.0, True) for k in range(240)]
+
+
 def test_linear_needs_every_neighbour_and_one_dimension_is_enough(spark):
     values = np.where(np.arange(8) == 3, np.nan, LAT)
     line = cube_of(spark, ("lat",), values, {"lat": LAT}, "v")
