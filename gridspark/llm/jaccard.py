@@ -2,28 +2,30 @@
 
 Two sets linked at a threshold share at least a number of members that follows from their sizes. **Light** sets are up to a boundary
 size: they give a key for every subset of such a number, so that a shared key proves a link; each key links its sets to the
-smallest of them, which keeps them connected. **Heavy** sets enter the inverted lists of their rarest members: of two linked sets
-each has one of the other's among its first few in any order that all share. Rare comes first, by counters of all members in a
-table of fixed size, so that what very many texts share hardly ever brings two together. The boundary is where subsets of all
-light sets and list entries of all heavy ones cost least, by the sizes of all sets.
-
-Sets that meet in a list, directly or through others, are a family, which comes to one task that compares whole sets. Passages that a
-few long texts share can chain many into one family. One beyond ``FAMILY_MEMBERS`` is narrowed: its sets are cut into one part more
-than linked ones may differ in, and meet again where a whole part is equal. What is still as large are near copies: a few pivots
-are compared with all in blocks, and then the sets outside the pivots' largest component with all. Of two linked sets one is
-compared with the other, or both are in one component. Pairs are never written out.
+smallest of them, which keeps them connected. **Heavy** sets enter inverted lists of their parts: they are cut by the hashes of
+their members into more parts than linked sets may differ in, so that a whole part is equal in both. Texts that only share passages
+hardly ever meet in one. The boundary is where subsets of all light sets and list entries of all heavy ones cost least, by the
+sizes of all sets.
+
+Sets that meet in a list, directly or through others, are a family, which comes to one task that compares whole sets. In one beyond
+``FAMILY_MEMBERS`` a few pivots are compared with all in blocks, and then the sets outside the pivots' largest component with all. Of
+two linked sets one is compared with the other, or both are in one component. If pivots leave too many, the family is narrowed
+first: its sets meet again in the lists of their rarest members. Of two linked sets each has one of the other's among its first few in
+any order that all share. Rare comes first, by counters of all members in a table of fixed size, so that what very many texts share
+hardly ever brings two together. Pairs are never written out.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridspark.llm.components import components
@@ -40,6 +42,14 @@ MOST_LIGHT = 64
 FAMILY_MEMBERS = 300_000
 #: Sets of a family that are compared with all of it first.
 PIVOTS = 8
+#: Parts that a set is cut into beyond those that linked sets must have.
+SPARE_PARTS = 2
+#: A part with fewer members is equal by chance too often.
+STRONG_PART = 2
+#: Tasks in which the sets of a large family that pivots leave are compared with all of it.
+REST_TASKS = 16
+#: Sets that a task remembers.
+SEEN_SETS = 500_000
 
 
 def least_shared(one: int, other: int, percent: int) -> int:
@@ -155,13 +165,19 @@ def list_keys(shingles: np.ndarray, ranks: np.ndarray, percent: int, light: int)
 _SIGNED = "doc_id long, t1 long, t2 long, n_shingles long, key binary, lists array<long>, subsets array<struct<c:int,subset:binary>>"
 
 
-def _signatures(k: int, percent: int, ranks: np.ndarray, light: int):
-    smallest = -(-percent * (light + 1) // 100)  # that a heavy set may be linked to
+def _signatures(k: int, percent: int, light: int):
+    smallest = max(1, -(-percent * (light + 1) // 100))  # that a heavy set may be linked to
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()  # copies give their keys about once a task
         for batch in batches:
             for at, sets in shingle_sets(batch.column("text"), k):
-                lists = [list_keys(s, ranks, percent, light).view(np.int64) if len(s) >= max(1, smallest) else None for s in sets]
+                lists, keys = [], [set_key(s) if len(s) else None for s in sets]
+                if len(seen) > SEEN_SETS:
+                    seen.clear()
+                for s, key in zip(sets, keys, strict=True):
+                    lists.append(part_keys(s, percent, light).view(np.int64) if len(s) >= smallest and key not in seen else None)
+                    seen.add(key)
                 subsets = [
                     [{"c": c, "subset": key} for c, key in subset_keys(s, percent)] if 0 < len(s) <= light else None for s in sets
                 ]
@@ -169,7 +185,7 @@ def _signatures(k: int, percent: int, ranks: np.ndarray, light: int):
                     [
                         *[batch.column(c).slice(at, len(sets)) for c in ("doc_id", "t1", "t2")],
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
+                        pa.array(keys, pa.binary()),
                         pa.array(lists, pa.list_(pa.int64())),
                         pa.array(subsets, pa.list_(pa.struct([("c", pa.int32()), ("subset", pa.binary())]))),
                     ],
@@ -189,9 +205,19 @@ def _light_links(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows (list, key) to links of rows that follow each other in a list, and the part's first and last row."""
+    """Sorted rows (list, key) to links of each key with the smallest it meets in the part's lists, directly or through others.
+
+    And the first rows of the part's first and last list.
+    """
     part = TaskContext.get().partitionId()
     first = last = None
+    parent: dict[bytes, bytes] = {}
+
+    def find(key: bytes) -> bytes:
+        while (up := parent.setdefault(key, key)) != key:
+            parent[key] = key = parent[up]
+        return key
+
     kinds = {"a": pa.binary(), "b": pa.binary(), "part": pa.int32(), "end": pa.int64()}
 
     def rows(a: list, b: list, parts: list, ends: list) -> pa.RecordBatch:
@@ -201,16 +227,24 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists, keys = batch.column("list").to_numpy(), batch.column("key")
         if not len(lists):
             continue
-        same = np.flatnonzero(lists[1:] == lists[:-1])
-        a, b = keys.take(pa.array(same + 1)).to_pylist(), keys.take(pa.array(same)).to_pylist()
-        if last is not None and last[0] == lists[0]:
+        new = np.flatnonzero(np.append(True, lists[1:] != lists[:-1]))
+        heads = np.repeat(new, np.diff(np.append(new, len(lists))))
+        later = np.flatnonzero(heads != np.arange(len(lists)))
+        a, b = keys.take(pa.array(later)).to_pylist(), keys.take(pa.array(heads[later])).to_pylist()
+        goes_on = last is not None and last[0] == lists[0]
+        if goes_on:
             a.append(keys[0].as_py())
             b.append(last[1])
-        pairs = list({(x, y) for x, y in zip(a, b, strict=True) if x != y})
+        for one, other in set(zip(a, b, strict=True)):
+            low, high = sorted((find(one), find(other)))
+            parent[high] = low
         first = first or (int(lists[0]), keys[0].as_py())
-        last = (int(lists[-1]), keys[-1].as_py())
-        none = [None] * len(pairs)
-        yield rows([x for x, _ in pairs], [y for _, y in pairs], none, none)
+        if len(new) > 1 or not goes_on:
+            last = (int(lists[-1]), keys[int(new[-1])].as_py())
+    met = [key for key in parent if find(key) != key]
+    for at in range(0, len(met), 10_000):
+        some = met[at : at + 10_000]
+        yield rows(some, [find(key) for key in some], [None] * len(some), [None] * len(some))
     if first:
         yield rows([first[1], None], [None, last[1]], [part, part], [first[0], last[0]])
 
@@ -235,8 +269,8 @@ def _candidates(lists: DataFrame) -> DataFrame:
     return inside.union(seams).filter(F.col("a") != F.col("b")).distinct()
 
 
-def linked(sets: list[np.ndarray], percent: int, asking: list[int] | None = None) -> list[tuple[int, int]]:
-    """Links that connect the sets as all links would: of ``asking`` sets with all, or of all.
+def linked(sets: list[np.ndarray], percent: int, asking: list[int] | None = None) -> list[int]:
+    """For each set one of its component, by the links of ``asking`` sets with all, or of all.
 
     A pass compares one set with all at once. After ``PIVOTS`` passes, the sets of the largest component make none: of two linked
     sets one has passed, or both are in that component.
@@ -256,7 +290,7 @@ def linked(sets: list[np.ndarray], percent: int, asking: list[int] | None = None
     shared = np.add.reduceat((often > 1)[places].astype(np.int64), at)
     able = 100 * shared >= percent * sizes
     order = [i for i in (range(n) if asking is None else asking) if able[i]]
-    marks, out, main = np.zeros(len(often), np.int64), [], None
+    marks, main = np.zeros(len(often), np.int64), None
     for turn, i in enumerate(order):
         if asking is None and turn >= PIVOTS:
             if main is None:
@@ -269,14 +303,15 @@ def linked(sets: list[np.ndarray], percent: int, asking: list[int] | None = None
         both = np.add.reduceat(marks[places], at)
         marks[own] = 0
         for j in np.flatnonzero(100 * both >= percent * (sizes + sizes[i] - both)).tolist():
-            if find(j) != find(i):
-                parent[find(j)] = find(i)
-                out.append((i, j))
-    return out
+            parent[find(j)] = find(i)
+    return [find(i) for i in range(n)]
 
 
 def _compared(k: int, percent: int):
-    """Rows (task, asks, key, text), sorted by task, to links (a, b): of the sets that ask with all of the task, or of all if none does."""
+    """Rows (task, asks, key, text), sorted by task, to links (a, b) of each set with the smallest of its component.
+
+    Components are by the links of the sets that ask with all of the task, or of all if none does.
+    """
 
     def links_in(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
         keys: list[bytes] = []
@@ -293,7 +328,11 @@ def _compared(k: int, percent: int):
                 asking.append(seen[key])
         if len(keys) < 2:
             return []
-        return [(keys[i], keys[j]) for i, j in linked(sets, percent, asking or None)]
+        roots = linked(sets, percent, asking or None)
+        least: dict[int, bytes] = {}
+        for root, key in zip(roots, keys, strict=True):
+            least[root] = min(key, least.get(root, key))
+        return [(key, least[root]) for root, key in zip(roots, keys, strict=True) if key != least[root]]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -339,36 +378,48 @@ def size_class(size: int, percent: int) -> tuple[int, int]:
         at, low = at + 1, next_low
 
 
-def part_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
+@lru_cache(1 << 16)
+def _parts_of(size: int, percent: int) -> list[tuple[int, np.ndarray]]:
+    """The number of parts of a set of this size and a salt for each: as the smaller set of a pair, then as the larger if it can be."""
+    own, top = size_class(size, percent)
+    lower = max((s for s in range(max(1, size * percent // 100 - 2), size) if size_class(s, percent)[0] == own - 1), default=None)
+    out = []
+    for number, most in ((own, top), (own - 1, None if lower is None else size_class(lower, percent)[1])):
+        if most is not None:
+            parts = (100 - percent) * 2 * most // (100 + percent) + 1 + SPARE_PARTS
+            out.append((parts, mixed(np.arange(parts, dtype=np.uint64) + (np.uint64(number) << np.uint64(40)), 23)))
+    return out
+
+
+def part_keys(shingles: np.ndarray, percent: int, light: int = 0) -> np.ndarray:
     """Keys of a set's parts, of which linked sets have one in common.
 
-    Members are dealt by their hashes to one part more than two linked sets of these size classes differ in, so that one part has
-    the same members in both, or none. A set takes part as the smaller and as the larger of a pair.
+    Members are dealt by their hashes to more parts than two linked sets of these size classes differ in, so that at least one part
+    and ``SPARE_PARTS`` others have the same members in both. Weak parts, of fewer than ``STRONG_PART`` members, give no key unless
+    a set has more than ``SPARE_PARTS`` of them: else one of those that are the same is a strong one. A set takes part as the
+    smaller and as the larger of a pair; a light set is only ever the smaller one.
     """
-    n, out = len(shingles), []
-    own, top = size_class(n, percent)
-    lower = max((s for s in range(max(1, n * percent // 100 - 2), n) if size_class(s, percent)[0] == own - 1), default=None)
-    for number, most in ((own, top), (own - 1, None if lower is None else size_class(lower, percent)[1])):
-        if most is None:
-            continue
-        parts = (100 - percent) * 2 * most // (100 + percent) + 1
-        at = (mixed(shingles, 21) % np.uint64(parts)).astype(np.int64)
-        sums = np.zeros(parts, np.uint64)
-        np.add.at(sums, at, mixed(shingles, 22))
-        salted = np.arange(parts, dtype=np.uint64) + (np.uint64(number) << np.uint64(40))
-        out.append(mixed(sums + mixed(salted, 23), 24))
+    deals = _parts_of(len(shingles), percent)
+    dealt, values, out = mixed(shingles, 21), mixed(shingles, 22), []
+    low, high = (values & np.uint64(0xFFFFFFFF)).astype(np.float64), (values >> np.uint64(32)).astype(np.float64)
+    for parts, salts in deals[:1] if len(shingles) <= light else deals:
+        at = (dealt % np.uint64(parts)).astype(np.int64)
+        strong = np.bincount(at, minlength=parts) >= STRONG_PART
+        sums = np.bincount(at, high, parts).astype(np.uint64) << np.uint64(32)  # halves of up to two million members add exactly
+        keys = mixed(sums + np.bincount(at, low, parts).astype(np.uint64) + salts, 24)
+        out.append(keys[strong] if parts - strong.sum() <= SPARE_PARTS else keys)
     return np.concatenate(out)
 
 
-def _parted(k: int, percent: int):
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _listed(k: int, percent: int, ranks: np.ndarray, light: int):
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, sets in shingle_sets(batch.column("text"), k):
-                keys = [part_keys(s, percent).view(np.int64) for s in sets]
-                lists = pa.array(keys, pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column("key").slice(at, len(sets)), lists], ["key", "lists"])
+                keys = [list_keys(s, ranks, percent, light).view(np.int64) for s in sets]
+                columns = [batch.column(c).slice(at, len(sets)) for c in ("family", "key")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(keys, pa.list_(pa.int64()))], ["family", "key", "lists"])
 
-    return part
+    return rarest
 
 
 def _with_families(held: DataFrame, lists: DataFrame, classes: DataFrame) -> DataFrame:
@@ -379,14 +430,14 @@ def _with_families(held: DataFrame, lists: DataFrame, classes: DataFrame) -> Dat
     return held.join(found.join(costs, "family"), "key")
 
 
-def _heavy_links(classes: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+def _heavy_links(classes: DataFrame, signed: DataFrame, rows: DataFrame, ranks: np.ndarray, words: int, percent: int, light: int) -> DataFrame:
     """(a, b) of sets of which one is heavy at least.
 
-    Texts of the sets that meet in lists are fetched once. In families too large for a task, sets are dealt to narrower ones by
-    their parts; what is still too large is compared with pivots first.
+    Texts of the sets that meet in lists of parts are fetched once. Families too large for a task are compared with pivots. Where what
+    these leave would take more than ``REST_TASKS``, sets are dealt to narrower families by the lists of their rarest members.
     """
     wanted = classes.select("key", "doc", F.col("t1").alias("u1"), F.col("t2").alias("u2"))
-    met = _with_families(wanted, classes.select("key", "lists"), classes)
+    met = _with_families(wanted, signed.filter("lists IS NOT NULL").select("key", "lists"), classes)
     same = F.col("doc").eqNullSafe(F.col("doc_id")) & (F.col("u1") == F.col("t1")) & (F.col("u2") == F.col("t2"))
     held = written(met.join(rows, same).select("family", "cost", "n_shingles", "key", "text"), "held")
     small, large = F.col("cost") <= FAMILY_MEMBERS, F.col("cost") > FAMILY_MEMBERS
@@ -394,22 +445,36 @@ def _heavy_links(classes: DataFrame, rows: DataFrame, words: int, percent: int)
     links = _links_of_tasks(held.filter(small).withColumn("task", task).withColumn("asks", F.lit(0)), words, percent)
     if not held.filter(large).limit(1).count():
         return links
-    texts = held.filter(large).select("key", "text")
-    parts = written(texts.mapInArrow(_parted(words, percent), "key binary, lists array<long>"), "parts")
-    narrow = written(_with_families(texts, parts, classes), "narrow")
+    near, rest = _links_of_pivots(held.filter(large), words, percent)
+    size = FAMILY_MEMBERS // 2
+    left = rest.groupBy("family").agg((F.ceil(F.sum("n_shingles") / size) * F.ceil(F.max("cost") / size)).alias("tasks"))
+    left = written(left, "left")
+    few, many = left.filter(F.col("tasks") <= REST_TASKS), left.filter(F.col("tasks") > REST_TASKS)
+    links = links.union(near).union(_links_of_rest(held.join(few, "family", "left_semi"), rest.join(few, "family", "left_semi"), words, percent))
+    if not many.limit(1).count():
+        return links
+    texts = held.join(many, "family", "left_semi").select("family", "key", "text")
+    lists = texts.mapInArrow(_listed(words, percent, ranks, light), "family binary, key binary, lists array<long>")
+    lists = lists.select("key", F.transform("lists", lambda one: F.xxhash64(one, "family")).alias("lists"))
+    narrow = written(_with_families(texts.drop("family"), written(lists, "lists"), classes), "narrow")
     found = _links_of_tasks(narrow.filter(small).withColumn("task", task).withColumn("asks", F.lit(0)), words, percent)
     links = links.union(found)
     if narrow.filter(large).limit(1).count():
-        links = links.union(_links_by_pivots(narrow.filter(large), words, percent))
+        near, rest = _links_of_pivots(narrow.filter(large), words, percent)
+        links = links.union(near).union(_links_of_rest(narrow, rest, words, percent))
     return links
 
 
-def _links_by_pivots(held: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b) in families (family, cost, n_shingles, key, text) in parts: of pivots with all, then of what they leave with all."""
-    size = FAMILY_MEMBERS // 2
-    parts = F.ceil(F.col("cost") / size).cast("int")
-    part = F.pmod(F.xxhash64("key"), parts).cast("int")
-    every = F.explode(F.sequence(F.lit(0), parts - 1))
+def _blocks() -> tuple[Column, Column]:
+    """The block of a set of a large family, and a row for every block."""
+    parts = F.ceil(F.col("cost") / (FAMILY_MEMBERS // 2)).cast("int")
+    return F.pmod(F.xxhash64("key"), parts).cast("int"), F.explode(F.sequence(F.lit(0), parts - 1))
+
+
+def _links_of_pivots(held: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links in families (family, cost, n_shingles, key, text) of pivots with all, and the sets (family, cost, key, n_shingles)
+    outside the largest component that these make."""
+    part, every = _blocks()
     first = [F.min(F.struct(F.xxhash64(F.lit(i), "key").alias("draw"), "key")).alias(f"p{i}") for i in range(PIVOTS)]
     keys = F.array(*[F.col(f"p{i}.key") for i in range(PIVOTS)])
     pivots = held.groupBy("family").agg(*first).select(F.explode(keys).alias("key")).distinct()
@@ -424,7 +489,14 @@ def _links_by_pivots(held: DataFrame, words: int, percent: int) -> DataFrame:
     found = written(found.withColumn("root", F.coalesce("root", "key")), "parted")
     counts = found.groupBy("family", "root").agg(F.count(F.lit(1)).alias("sets"))
     main = counts.groupBy("family").agg(F.max_by("root", F.struct("sets", "root")).alias("main"))
-    rest = found.join(main, "family").filter(F.col("root") != F.col("main")).select("family", "key", "n_shingles")
+    rest = found.join(main, "family").filter(F.col("root") != F.col("main")).select("family", "cost", "key", "n_shingles")
+    return near, written(rest, "rest")
+
+
+def _links_of_rest(held: DataFrame, rest: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links in families (family, cost, n_shingles, key, text) of the sets ``rest`` with all, in blocks."""
+    size = FAMILY_MEMBERS // 2
+    part, every = _blocks()
     groups = rest.groupBy("family").agg(F.ceil(F.sum("n_shingles") / size).cast("int").alias("groups"))
     groups = written(groups, "groups")
     group = F.pmod(F.xxhash64(F.lit("rest"), "key"), F.col("groups")).cast("int")
@@ -435,7 +507,7 @@ def _links_by_pivots(held: DataFrame, words: int, percent: int) -> DataFrame:
     others = held.join(groups, "family").withColumn("group", turns).withColumn("part", part).withColumn("asks", F.lit(0))
     tasks = asking.select(columns).unionByName(others.select(columns))
     named = F.concat_ws("-", F.hex("family"), "part", "group")
-    return near.union(_links_of_tasks(tasks.withColumn("task", named), words, percent))
+    return _links_of_tasks(tasks.withColumn("task", named), words, percent)
 
 
 def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90, light: int | None = None) -> DataFrame:
@@ -451,13 +523,13 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90, light
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), t1.alias("t1"), t2.alias("t2"), "text")
     ranks, sizes = commonness(docs, words)
     at = boundary(sizes, percent) if light is None else light
-    signed = written(rows.mapInArrow(_signatures(words, percent, ranks, at), _SIGNED), "signed")
+    signed = written(rows.mapInArrow(_signatures(words, percent, at), _SIGNED), "signed")
     one = F.min(F.struct("doc_id", "t1", "t2")).alias("one")
-    kept = [F.first(c).alias(c) for c in ("n_shingles", "lists", "subsets")]
+    kept = [F.first(c).alias(c) for c in ("n_shingles", "subsets")]
     classes = signed.filter("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("least"), one, *kept)
-    classes = classes.select("key", "least", "n_shingles", "lists", "subsets", F.col("one.doc_id").alias("doc"), "one.t1", "one.t2")
+    classes = classes.select("key", "least", "n_shingles", "subsets", F.col("one.doc_id").alias("doc"), "one.t1", "one.t2")
     classes = written(classes, "classes")
-    links = _light_links(classes, percent).union(_heavy_links(classes, rows, words, percent))
+    links = _light_links(classes, percent).union(_heavy_links(classes, signed, rows, ranks, words, percent, at))
     joined = classes.select("key", "least").join(components(links).withColumnRenamed("node", "key"), "key", "left")
     joined = joined.withColumn("root", F.coalesce("root", "key"))
     smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -108,6 +108,43 @@ def test_boundary_and_subsets():
             assert len(np.intersect1d(*(jaccard.list_keys(s, ranks, percent, 0) for s in (a, b))))
 
 
+def test_shared_passages_make_no_families(spark, monkeypatch):
+    """Texts made of passages that others have too; only near copies are fetched to be compared."""
+    rng = random.Random(3)
+    passages = [" ".join(f"p{i}-{j}" for j in range(25)) for i in range(320)]
+    rows = [(i, " ".join(rng.sample(passages, 8))) for i in range(80)]
+    rows += [(100 + i, rows[i][1] + " more") for i in range(3)]
+    held, real = [], jaccard.written
+
+    def written(df, name):
+        out = real(df, name)
+        if name == "held":
+            held.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "written", written)
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == components_of(rows, 3, 90)
+    assert 6 <= held[0] < 12
+
+
+def test_sets_without_a_common_member_share_no_part():
+    rng = np.random.default_rng(4)
+    keys = [jaccard.part_keys(np.unique(rng.integers(1, 1 << 63, 70, dtype=np.uint64)), 90) for _ in range(20_000)]
+    _, often = np.unique(np.concatenate([np.unique(k) for k in keys]), return_counts=True)
+    assert (often[often > 1]).sum() < 10
+
+
+def test_large_families_by_every_path(spark, texts, monkeypatch):
+    """Whatever pivots leave, at once or narrowed by lists first."""
+    monkeypatch.setattr(jaccard, "FAMILY_MEMBERS", 300)
+    want = components_of(texts, 3, 90)
+    for tasks in (0, 10_000):
+        monkeypatch.setattr(jaccard, "REST_TASKS", tasks)
+        got = jaccard.jaccard_components(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+        assert sorted((tuple(r) for r in got), key=repr) == want
+
+
 def near(a, b):
     if len(a) == len(b):
         return sum(x != y for x, y in zip(a, b, strict=True)) == 1
