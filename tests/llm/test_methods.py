@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from gridspark.llm import components as component_steps
 from gridspark.llm import decontaminate, minhash, ppm, quality, secrets, sharding, substrings, warc
 from gridspark.llm.components import components
 from gridspark.llm.fm_index import FmIndex
@@ -55,6 +56,29 @@ def test_components_of_random_links(spark):
     assert got == {k: min(v) for k, v in of.items() if len(v) > 1}
 
 
+@pytest.mark.parametrize("most,steps", [(200_000, 2), (60, None)])
+def test_components_by_task_links(spark, monkeypatch, most, steps):
+    """Links that a task can connect take no rounds of stars; more of them give the same."""
+    of_key = [b"%c%d" % (200 * (k % 2), k) for k in range(400)]
+    links = [(of_key[k], of_key[k - 1 - k % 3]) for k in range(3, 400) if k % 50 > 3] * 2 + [(of_key[7], of_key[7]), (None, of_key[0])]
+    made, real = [], component_steps.written
+
+    def written(df, name):
+        made.append(name)
+        return real(df, name)
+
+    monkeypatch.setattr(component_steps, "TASK_LINKS", most)
+    monkeypatch.setattr(component_steps, "written", written)
+    df = spark.createDataFrame(links, "a binary, b binary").repartition(7)
+    got = sorted((bytes(r["node"]), bytes(r["root"])) for r in components(df).collect())
+    of = {}
+    for a, b in links[:-2]:
+        both = of.get(a, {a}) | of.get(b, {b})
+        of.update((x, both) for x in both)
+    assert got == sorted((k, min(v)) for k, v in of.items())
+    assert len(made) == steps if steps else len(made) > 2
+
+
 def test_matching_statistics():
     rng = np.random.default_rng(3)
     texts = [rng.integers(1, 5, n) for n in (40, 1, 90, 33)]
